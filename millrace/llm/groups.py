@@ -1,0 +1,31 @@
+"""Connected components of links, without holding a component anywhere."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.scratch import cut
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of the links (a bigint, b bigint); root is the component's smallest node.
+
+    Alternates the large-star and small-star steps, which keep every component connected and end, after
+    about the logarithm of its diameter, in stars around its smallest node.  No links, no rows.
+    """
+    edges = cut(links.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    before = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        edges = cut(small, "edges")
+        now = edges.agg(F.count("*"), F.coalesce(F.expr("bit_xor(xxhash64(u, v))"), F.lit(0))).first()
+        if now == before:
+            break
+        before = now
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
