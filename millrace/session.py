@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -14,10 +17,28 @@ REQUIRED = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once for each application: Arrow functions import it there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="millrace-ship-")) / "millrace.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the settings that results depend on."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    _ship(spark)
     return spark
 
 
