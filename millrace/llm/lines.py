@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.arrow import groups
 from millrace.scratch import cut
@@ -240,7 +241,7 @@ def repeated_lines(lines: DataFrame, share: float = SHARE, least: int = LEAST_DO
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(texts: pd.Series, numbers: pd.Series) -> pd.Series:
     out = []
     for text, drop in zip(texts, numbers):
@@ -252,7 +253,7 @@ def _without(texts: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def posting_body(raw: pd.Series) -> pd.Series:
     """The body of a raw posting."""
     return raw.map(body_of)
