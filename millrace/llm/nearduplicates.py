@@ -145,12 +145,29 @@ def likeliest(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, size_a
     return (low + high) / 2
 
 
-def _sketched(text_of: Callable[[str | None], str], n: int, m: int, kept: int) -> Callable:
+#: Bytes kept of a band's hash. Records meet by chance in 2**48 values seldom, and the estimate drops those that do.
+KEY_BYTES = 6
+
+
+def band_keys(registers: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """Hashes (one row for each record) of the registers of every band; a band takes its registers from different parts."""
+    n = len(registers)
+    r = registers[:, : rows * bands].reshape(n, rows, bands)
+    weight = _MULT[1024 : 1024 + rows * bands].reshape(bands, rows)
+    h = np.full((n, bands), 0x1234567, np.uint64)
+    for k in range(rows):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + r[:, k, :].astype(np.uint64) * weight[None, :, k]
+    h ^= h >> np.uint64(32)
+    return h & np.uint64((1 << 8 * KEY_BYTES) - 1)
+
+
+def _sketched(text_of: Callable[[str | None], str], n: int, m: int, rows: int, bands: int, kept: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
         at = 0
-        for batch in batches:
-            ids, sets, sizes, full = [], [], [], []
+        # few records at once: their registers are 64-bit numbers for a while
+        for batch in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
+            ids, sets, sizes, least = [], [], [], []
             for i, raw in zip(batch.column("id").to_pylist(), batch.column("raw").to_pylist()):
                 if i is None:
                     continue
@@ -159,40 +176,51 @@ def _sketched(text_of: Callable[[str | None], str], n: int, m: int, kept: int) -
                     ids.append(i)
                     sets.append(xxhash.xxh3_128_digest(g.tobytes()))
                     sizes.append(len(g))
-                    full.append(minima(g, m))
+                    least.append(minima(g, m))
             count = len(ids)
-            full = [r.tobytes() for r in registers_of(np.stack(full))] if full else []
+            if not count:
+                continue
+            full = registers_of(np.stack(least))
+            keys = band_keys(full, rows, bands).astype("<u8").view(np.uint8).reshape(count, bands, 8)[:, :, :KEY_BYTES]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array(base + at + np.arange(count)), pa.array(sets, pa.binary()), pa.array(sizes, pa.int32()), pa.array(full, pa.binary())],
-                names=["id", "no", "class_key", "size", "registers"],
+                [pa.array(ids, pa.string()), pa.array(base + at + np.arange(count)), pa.array(sets, pa.binary()), pa.array(sizes, pa.int32()), pa.array([r[:kept].tobytes() for r in full], pa.binary()), pa.array([k.tobytes() for k in keys], pa.binary())],
+                names=["id", "no", "class_key", "size", "registers", "keys"],
             )
             at += count
 
     return run
 
 
-SKETCHED = "id string, no bigint, class_key binary, size int, registers binary"
+SKETCHED = "id string, no bigint, class_key binary, size int, registers binary, keys binary"
+
 
+def _banded(bands: int, without: np.ndarray) -> Callable:
+    """(band, no) rows of all records but those numbered in the sorted array ``without``."""
 
-def _banded(rows: int, bands: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = _MULT[1024 : 1024 + rows * bands].reshape(bands, rows)
         for batch in batches:
-            if not batch.num_rows:
+            no = batch.column("no").to_numpy()
+            own = np.ones(len(no), bool)
+            if len(without):
+                own = without[np.minimum(np.searchsorted(without, no), len(without) - 1)] != no
+            if not own.any():
                 continue
-            r = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(batch.num_rows, -1)[:, : rows * bands].reshape(batch.num_rows, rows, bands)
-            h = np.full((batch.num_rows, bands), 0x1234567, np.uint64)
-            for k in range(rows):
-                h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + r[:, k, :].astype(np.uint64) * weight[None, :, k]
-            h ^= h >> np.uint64(32)
-            no = np.repeat(batch.column("no").to_numpy(), bands)
-            flat = h.ravel()
+            no = no[own]
+            raw = np.frombuffer(b"".join(batch.column("keys").filter(pa.array(own)).to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+            flat = np.zeros((len(raw), 8), np.uint8)
+            flat[:, :KEY_BYTES] = raw
+            flat = flat.view("<i8").ravel()
+            number = np.repeat(no, bands)
             for a in range(0, len(flat), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(flat[a : a + (1 << 17)])), pa.array(no[a : a + (1 << 17)])], names=["band", "no"])
+                yield pa.RecordBatch.from_arrays([pa.array(flat[a : a + (1 << 17)]), pa.array(number[a : a + (1 << 17)])], names=["band", "no"])
 
     return run
 
 
+#: Numbers of repeated texts that are sent to the workers at most (8 bytes each); more are left out by a join.
+MOST_REPEATED = 1_000_000
+
+
 #: Records that one bucket, or block of a bucket, holds at most.
 BLOCK = 512
 
@@ -244,16 +272,18 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pairs_of(np.repeat(a, len(b)), np.tile(b, len(a)))
 
 
-def proposed(sketches: DataFrame, rows: int, bands: int, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of record numbers that share the registers of a band.
+def proposed(sketches: DataFrame, repeated: DataFrame, bands: int, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of record numbers that share a band's key.
 
-    Bucket sizes are counted first, with map-side combination, so that buckets larger than ``block``
-    leave the single-pass path and are joined block against block, each in a task of its own.
+    sketches: no, keys; repeated: the numbers (no) of records whose set another record stands for.  Buckets
+    larger than ``block`` leave the single pass and are joined block against block, each pair of blocks by itself.
     """
-    banded = sketches.select("no", "registers").mapInArrow(_banded(rows, bands), "band bigint, no bigint")
+    some = repeated.limit(MOST_REPEATED + 1).toArrow().column("no").to_numpy()
+    if len(some) > MOST_REPEATED:
+        sketches, some = sketches.join(repeated, "no", "left_anti"), some[:0]
+    banded = sketches.select("no", "keys").mapInArrow(_banded(bands, np.sort(some)), "band bigint, no bigint")
     buckets = banded.repartition("band").sortWithinPartitions("band")
-    small = buckets.mapInArrow(_split_large(block), "band bigint, no bigint, block int, a bigint, b bigint")
-    out = cut(small, "proposed")
+    out = cut(buckets.mapInArrow(_split_large(block), "band bigint, no bigint, block int, a bigint, b bigint"), "proposed")
     pairs = out.filter("band is null").select("a", "b")
     large = out.filter("band is not null").select("band", "no", "block")
     if not large.isEmpty():
@@ -389,13 +419,15 @@ class Similar:
         if m > 1024:
             raise ValueError(f"{m} registers are more than the hash constants serve; use fewer rows or a larger miss")
         records = records.select("id", "raw")
-        sketches = cut(records.mapInArrow(_sketched(text_of, n, m, estimate), SKETCHED).dropDuplicates(["id"]), "sketches")
-        reps = sketches.groupBy("class_key").agg(F.min(F.struct("no", "id")).alias("rep"))
-        self.classes = cut(sketches.select("id", "no", "class_key").join(reps, "class_key").select("id", "no", F.col("rep.no").alias("rep")), "classes")
-        first = self.classes.filter("no = rep").select("no")
-        own = sketches.join(first, "no")
-        pairs = proposed(own, rows, bands)
-        short = own.select("no", "size", F.substring("registers", 1, 2 * estimate).alias("r"))
+        sketches = cut(records.mapInArrow(_sketched(text_of, n, m, rows, bands, estimate), SKETCHED), "sketches")
+        # one record for each id, then one for each set; only these few columns cross the network for it
+        one = sketches.groupBy("id").agg(F.min(F.struct("no", "class_key")).alias("r")).select("id", "r.no", "r.class_key")
+        kept = cut(one, "kept")
+        reps = kept.groupBy("class_key").agg(F.min("no").alias("rep"))
+        self.classes = cut(kept.join(reps, "class_key").select("id", "no", "rep"), "classes")
+        repeated = sketches.select("no").join(self.classes.filter("no = rep").select("no"), "no", "left_anti")
+        pairs = proposed(sketches, repeated, bands)
+        short = sketches.select("no", "size", F.col("registers").alias("r"))
         left = pairs.join(short.select(F.col("no").alias("a"), F.col("size").alias("sa"), F.col("r").alias("ra")), "a")
         both = left.join(short.select(F.col("no").alias("b"), F.col("size").alias("sb"), F.col("r").alias("rb")), "b")
         likely = cut(both.mapInArrow(_estimated(threshold, deviations, estimate), "a bigint, b bigint"), "likely")
