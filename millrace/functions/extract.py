@@ -72,15 +72,18 @@ def education_level(text: Column) -> Column:
     """The lowest level that a line requires, else the lowest one mentioned; null if none is."""
     lines = _lines(text)
 
+    def said(level: str, pattern: str, required: bool) -> Column:
+        def test(x: Column) -> Column:
+            firm = _has(x, REQUIRED) & ~_has(x, PREFERRED)
+            known = _has(x, pattern) & _has(x, REQUIRED) if level == "none" else _has(x, pattern)
+            return known & (firm if required else ~firm)
+
+        return F.exists(lines, test)
+
     def lowest(required: bool) -> Column:
         out = F.lit(None).cast("string")
         for level, pattern in reversed(EDUCATION):
-            def says(x: Column, pattern: str = pattern, level: str = level) -> Column:
-                firm = _has(x, REQUIRED) & ~_has(x, PREFERRED)
-                known = _has(x, pattern) & (_has(x, REQUIRED) if level == "none" else F.lit(True))
-                return known & (firm if required else ~firm)
-
-            out = F.when(F.exists(lines, says), F.lit(level)).otherwise(out)
+            out = F.when(said(level, pattern, required), F.lit(level)).otherwise(out)
         return out
 
     return F.coalesce(lowest(True), lowest(False))

@@ -129,7 +129,11 @@ STOPWORDS = {
 def guessed_language(c: Column, least: int = 4) -> Column:
     """The language with the most frequent words in the text, the first on a tie; null below ``least``."""
     words = F.split(F.lower(c), r"(?U)[^\p{L}]+")
-    score = {k: F.size(F.filter(words, lambda w, k=k: w.isin(STOPWORDS[k]))) for k in STOPWORDS}
+
+    def count(own: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(own)))
+
+    score = {k: count(own) for k, own in STOPWORDS.items()}
     best = F.greatest(*score.values())
     out = F.lit(None).cast("string")
     for k in reversed(list(score)):

@@ -49,6 +49,8 @@ def alike_pairs(rows: DataFrame, block: list[str], least: float = ALIKE) -> Data
                         out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"])
 
+    several = F.count("*").over(Window.partitionBy(*block, "level"))
+    dealt = dealt.withColumn("many", several).filter("many > 1").drop("many")
     return dealt.groupBy(*block, "level").applyInPandas(compare, "a bigint, b bigint")
 
 

@@ -305,7 +305,7 @@ _LINE = "trim(regexp_replace(l, '^\\s+|\\s+$', '', 'g'))"
 
 
 @query("""
-WITH d AS (SELECT doc_id, lang, source, unnest(list_distinct(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(l, '^\\s+|\\s+$', '', 'g')), lambda l: length(l) >= 30), lambda l: left(md5(regexp_replace(regexp_replace(lower(l), 'https?://\\S+', '', 'g'), '\\s+', ' ', 'g')), 12)))) AS line_hash FROM documents WHERE text IS NOT NULL AND source IS NOT NULL)
+WITH d AS (SELECT doc_id, lang, source, unnest(list_distinct(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(l, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')), lambda l: length(l) >= 30), lambda l: left(md5(regexp_replace(regexp_replace(lower(l), 'https?://\\S+', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g')), 12)))) AS line_hash FROM documents WHERE text IS NOT NULL AND source IS NOT NULL)
 SELECT source, line_hash, count(DISTINCT doc_id) AS documents, n FROM d JOIN (SELECT source, count(DISTINCT doc_id) AS n FROM documents WHERE text IS NOT NULL GROUP BY source HAVING count(DISTINCT doc_id) >= 3) USING (source)
 GROUP BY source, line_hash, n HAVING count(DISTINCT doc_id) > n * 0.02 AND count(DISTINCT doc_id) > 1""")
 def frequent_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,7 +316,7 @@ def frequent_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH c AS (SELECT board_token, list_distinct(flatten(list(coalesce(boilerplate_hashes, [])))) AS hashes FROM pipeline_companies WHERE board_token IS NOT NULL GROUP BY board_token)
-SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda l: length(regexp_replace(l, '^\\s+|\\s+$', '', 'g')) < 30 OR NOT list_contains(coalesce(hashes, []), left(md5(regexp_replace(regexp_replace(lower(regexp_replace(l, '^\\s+|\\s+$', '', 'g')), 'https?://\\S+', '', 'g'), '\\s+', ' ', 'g')), 12))), chr(10))) AS n_chars
+SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda l: length(regexp_replace(l, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')) < 30 OR NOT list_contains(coalesce(hashes, []), left(md5(regexp_replace(regexp_replace(lower(regexp_replace(l, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')), 'https?://\\S+', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g')), 12))), chr(10))) AS n_chars
 FROM documents d LEFT JOIN c USING (board_token) WHERE text IS NOT NULL""")
 def without_cached_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Length of every text once the lines that its board's record lists are taken out."""
@@ -499,7 +499,7 @@ def newest_wins(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 @query("""
-SELECT r_name, n_name, c_mktsegment, count(DISTINCT o_orderkey) AS orders, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+SELECT r_name, n_name, c_mktsegment, count(DISTINCT o_orderkey) AS orders, round(sum(l_extendedprice * (1 - l_discount)), 0) AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3""")
 def revenue_by_market(spark: SparkSession, folder: str) -> DataFrame:
@@ -509,7 +509,7 @@ def revenue_by_market(spark: SparkSession, folder: str) -> DataFrame:
     lines = t("lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
     places = F.broadcast(t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name"))  # 25 rows by definition
     j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.groupBy("r_name", "n_name", "c_mktsegment").agg(F.countDistinct("o_orderkey").alias("orders"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+    return j.groupBy("r_name", "n_name", "c_mktsegment").agg(F.countDistinct("o_orderkey").alias("orders"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 0).alias("revenue"))
 
 
 @query("""
