@@ -102,12 +102,12 @@ def suffix_array(x: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of x's suffixes by their first values, and the common prefix of each with the one before.
 
     Prefix doubling up to 2**k >= longest; longer common prefixes cannot occur, since every
-    document ends with a value of its own.
+    document ends with a value of its own.  x isn't empty.
     """
     n = len(x)
     rank = np.unique(x, return_inverse=True)[1].astype(np.int64)
     ranks, step = [rank], 1
-    while step < longest:
+    while step < min(longest, n):
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] + 1
         rank = np.unique(rank * (n + 2) + ahead, return_inverse=True)[1].astype(np.int64)
@@ -146,32 +146,30 @@ def repeated_blocks(documents: list[np.ndarray], share: float) -> list[tuple[tup
     x[mark] = len(values) + np.arange(total)
     owner = np.repeat(np.arange(total), lengths + 1)
     order, common = suffix_array(x, 2 * longest)
-    owners = owner[order]
     out: dict[tuple[int, ...], int] = {}
     size = 1
-    while True:
-        starts = common < size
-        run = np.cumsum(starts) - 1
-        alive = ~mark[order]  # a suffix shorter than the block stands in a run of its own
-        pairs = np.unique(run[alive] * total + owners[alive])
+    # suffixes, by their place in the order, that begin a block of this size in often enough documents so far
+    left = np.flatnonzero(~mark[order])
+    while len(left):
+        # a block that begins one line before a document's end mark, or reaches over it, is none
+        inside = order[left] + size <= ends[owner[order[left]]]
+        left = left[inside]
+        if not len(left):
+            break
+        new = np.concatenate([[True], (np.diff(left) != 1) | (common[left[1:]] < size)])
+        run = np.cumsum(new) - 1
+        pairs = np.unique(run * total + owner[order[left]])
         in_documents = np.bincount(pairs // total, minlength=run[-1] + 1)
-        often = np.flatnonzero(in_documents > share * total)
-        first = np.flatnonzero(starts)[often]
-        # a run of one suffix may reach past its document's end; such a block holds a mark and is none
-        kept = 0
-        for at, many in zip(order[first].tolist(), in_documents[often].tolist()):
-            span = x[at : at + size]
-            if len(span) < size or (span >= len(values)).any():
-                continue
-            block = tuple(values[span].tolist())
+        often = in_documents > share * total
+        for at, many in zip(order[left[np.flatnonzero(new)[often]]].tolist(), in_documents[often].tolist()):
+            block = tuple(values[x[at : at + size]].tolist())
             for part in (block[1:], block[:-1]):
                 if out.get(part) == many:
                     del out[part]
             out[block] = many
-            kept += 1
-        if not kept:
-            return sorted(out.items())
+        left = left[often[run]]
         size += 1
+    return sorted(out.items())
 
 
 def _chunk_blocks(share: float):

@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ways in which items of one size are split to rank them.
+#: Ways in which items of one size are split to rank them, at most.
 WAYS = 256
-#: Largest capacity for which a plan is made on the driver: bounds its memory.
-MOST_CAPACITY = 1 << 20
+#: Largest capacity for which a plan is made on the driver, and counts (of sizes by ways) that reach it at most.
+MOST_CAPACITY, MOST_COUNTS = 1 << 20, 1 << 20
 
 
 class Room:
@@ -130,23 +130,23 @@ def packed(sizes: DataFrame, capacity: int) -> DataFrame:
     """
     if not 0 < capacity <= MOST_CAPACITY:
         raise ValueError(f"capacity must be from 1 to {MOST_CAPACITY}")
+    ways = max(1, min(WAYS, MOST_COUNTS // (capacity + 1)))
     tokens = F.greatest(F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)), F.lit(0).cast("bigint"))
     pieces = (
         sizes.select("doc", tokens.alias("whole"))
         .select("doc", "whole", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.ceil(F.col("whole") / capacity) - 1))).alias("piece"))
         .select("doc", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("whole") - F.col("piece") * capacity).alias("tokens"))
-        .withColumn("way", F.pmod(F.xxhash64("doc", "piece"), F.lit(WAYS)))
+        .withColumn("way", F.pmod(F.xxhash64("doc", "piece"), F.lit(ways)))
     )
     counted = pieces.groupBy("tokens", "way").agg(F.count("*").alias("n"))
-    rows = counted.collect()  # at most WAYS * (capacity + 1) rows, whatever the number of items
-    counts: dict[int, int] = {}
-    offsets: dict[int, np.ndarray] = {}
-    for r in rows:
-        counts[r["tokens"]] = counts.get(r["tokens"], 0) + r["n"]
-        offsets.setdefault(r["tokens"], np.zeros(WAYS + 1, np.int64))[r["way"] + 1] = r["n"]
+    rows = counted.toArrow()  # at most MOST_COUNTS rows, or one for each size, whatever the number of items
+    size, way, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("tokens", "way", "n"))
+    table, at = np.unique(size, return_inverse=True)
+    starts = np.zeros((len(table), ways + 1), np.int64)
+    starts[at, way + 1] = n
+    counts = dict(zip(table.tolist(), starts.sum(1).tolist()))
+    starts = np.cumsum(starts, 1)
     plan, _ = best_fit_plan(counts, capacity)
-    table = np.array(sorted(offsets), np.int64)
-    starts = np.stack([np.cumsum(offsets[s]) for s in table.tolist()]) if len(table) else np.zeros((0, WAYS + 1), np.int64)
     place = _placed(plan)
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -268,7 +268,7 @@ class SpanIndex:
         plain = whole.select("doc", (F.col("pos") - left).alias("a"), (F.col("pos") + right).alias("b"))
         parts = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("part"), F.col(f"part{i}").cast("int").alias("value")) for i in range(PARTS)]), lambda x: x["value"] >= 0)).alias("p")
         members = classes.select("h", "around", "doc", "pos", "reach", "several", parts).select("h", "around", "doc", "pos", "reach", "several", "p.part", "p.value")
-        sizes = members.groupBy("h", "part", "value").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("several").alias("settled")).filter("n > 1 and (low < high) and not settled")
+        sizes = members.groupBy("h", "part", "value").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("several").alias("some"), F.min("several").alias("every")).filter("n > 1 and (low < high or some) and not every")
         alike = cut(members.join(sizes.select("h", "part", "value", "n"), ["h", "part", "value"]), "alike")
         wanted = alike.select("h", "around", "doc", "pos", "reach", "several").distinct().groupBy("doc").agg(F.collect_list(F.struct("h", "around", "pos", "reach", "several")).alias("wanted"))
         owners = Bloom.of(wanted.select(F.col("doc").cast("string").alias("doc")), "doc")

@@ -75,7 +75,7 @@ def test_shares_caps_and_repeats(spark):
     chosen = m.chosen.collect()
     assert max(Counter((x["doc"], x["source"]) for x in chosen).values()) <= 3 and len({(x["doc"], x["repeat"]) for x in chosen}) == len(chosen)
     share = {x["source"]: x for x in m.shares().collect()}
-    assert share["small"]["tokens"] == 400 and share["small"]["repeats"] == 2
+    assert 400 - mixing.MOST_BLOCK < share["small"]["tokens"] <= 400 and share["small"]["repeats"] == 2
     assert abs(share["big"]["share_reached"] - share["big"]["share_possible"]) < 0.005 and abs(share["mid"]["share_reached"] - share["mid"]["share_possible"]) < 0.005
     assert share["none"]["tokens"] == 0 and set(share) == {"big", "mid", "small", "none"}
     # every stretch of the schedule holds the shares
