@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.components import components
 
-#: Texts of one block and of like length that are compared pair by pair in one task.
-ALIKE, ROOM = 0.95, 2000
+#: Ratio from which texts are alike; texts of one block and of like length that one task compares with as many others, about.
+ALIKE, ROOM = 0.95, 500
 
 
 def exact_groups(rows: DataFrame, keys: list[Column], least: int = 2) -> DataFrame:
@@ -28,8 +28,8 @@ def alike_pairs(rows: DataFrame, block: list[str], least: float = ALIKE) -> Data
     """Pairs (a, b) of rows (no bigint, text string, block columns) of one block whose ratio is at least ``least``.
 
     A pair's lengths bound its ratio, so rows are dealt to windows of length that only such pairs share: a row
-    goes to the window of its length and to the next.  Windows are parts of a block by content-free bounds,
-    the equal texts among them having been joined before.
+    goes to the window of its length and to the next.  A window of many rows is cut into parts, and every pair
+    of parts is compared by itself, so no task holds more than two of them.
     """
     step = (2 - least) / least  # lengths of a pair that can reach the ratio differ by this factor at most
     level = F.floor(F.log(F.greatest(F.length("text"), F.lit(1))) / F.log(F.lit(step)))
@@ -38,11 +38,12 @@ def alike_pairs(rows: DataFrame, block: list[str], least: float = ALIKE) -> Data
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("no")
         out = []
-        items = list(zip(pdf["no"], pdf["text"], pdf["own"], pdf["level"]))
-        for i, (a, x, la, level_) in enumerate(items):
-            for b, y, lb, _ in items[i + 1 :]:
-                if max(la, lb) != level_:
-                    continue  # met in the window of the longer one only
+        items = list(zip(pdf["no"], pdf["text"], pdf["own"], pdf["level"], pdf["part"]))
+        two = len(set(pdf["part"])) > 1
+        for i, (a, x, la, level_, pa_) in enumerate(items):
+            for b, y, lb, _, pb_ in items[i + 1 :]:
+                if max(la, lb) != level_ or (two and pa_ == pb_):
+                    continue  # met in the window of the longer one only, and pairs within a part by themselves
                 if 2 * min(len(x), len(y)) >= least * (len(x) + len(y)):
                     m = difflib.SequenceMatcher(None, x, y)
                     if m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least:
@@ -50,8 +51,10 @@ def alike_pairs(rows: DataFrame, block: list[str], least: float = ALIKE) -> Data
         return pd.DataFrame(out, columns=["a", "b"])
 
     several = F.count("*").over(Window.partitionBy(*block, "level"))
-    dealt = dealt.withColumn("many", several).filter("many > 1").drop("many")
-    return dealt.groupBy(*block, "level").applyInPandas(compare, "a bigint, b bigint")
+    parts = F.ceil(F.col("many") / ROOM)
+    dealt = dealt.withColumn("many", several).filter("many > 1").withColumn("part", F.pmod("no", parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    dealt = dealt.withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other")).drop("many", "other")
+    return dealt.groupBy(*block, "level", "x", "y").applyInPandas(compare, "a bigint, b bigint")
 
 
 def duplicate_groups(rows: DataFrame, block: list[str], least: float = ALIKE) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import folded, nz
+from millrace.text import fold
 
 #: Further names of some countries.
 COUNTRY_ALIASES = {"US": ["USA", "United States of America"], "GB": ["UK", "Great Britain", "Britain"], "AE": ["UAE"]}
@@ -25,12 +28,13 @@ def kind_order(kind: Column, first: tuple[str, ...] = KINDS) -> Column:
 
 def display_name(name: Column, admin1: Column, country: Column) -> Column:
     """name, region and country, without parts that repeat an earlier one once folded."""
-    parts = F.array_compact(F.array(nz(name), F.when(folded(admin1) != folded(name), nz(admin1)), F.when((folded(country) != folded(name)) & (folded(country) != folded(F.coalesce(admin1, F.lit("")))), nz(country))))
-    return F.array_join(parts, ", ")
+    own, region = folded(name), folded(F.coalesce(admin1, F.lit("")))
+    nation = folded(F.coalesce(country, F.lit("")))
+    return F.concat_ws(", ", nz(name), F.when(region != own, nz(admin1)), F.when((nation != own) & (nation != region), nz(country)))
 
 
 def search_names(name: Column, ascii_name: Column, shown: Column, country_code: Column, country: Column, admin1_code: Column, admin1: Column, extra: Column | None = None) -> Column:
-    """All names of a place before folding: its own, and each with every alias of its region and country."""
+    """All names of a place before folding (some may be null): its own, and each with every alias of its region and country."""
     aliases = F.create_map(*[x for k, v in COUNTRY_ALIASES.items() for x in (F.lit(k), F.array(*[F.lit(a) for a in v]))])
     none = F.array().cast("array<string>")
     countries = F.array_compact(F.concat(F.array(nz(country), nz(country_code)), F.coalesce(F.try_element_at(aliases, country_code), none)))
@@ -39,28 +43,19 @@ def search_names(name: Column, ascii_name: Column, shown: Column, country_code:
     with_region = F.transform(regions, lambda r: F.concat_ws(" ", name, r))
     with_country = F.transform(countries, lambda c: F.concat_ws(" ", name, c))
     with_both = F.flatten(F.transform(regions, lambda r: F.transform(countries, lambda c: F.concat_ws(" ", name, r, c))))
-    own = F.array_compact(F.array(nz(name), nz(ascii_name), nz(shown)))
+    own = F.array(nz(name), nz(ascii_name), nz(shown))
     return F.array_distinct(F.concat(own, F.coalesce(extra, none) if extra is not None else none, with_country, with_region, with_both))
 
 
 def with_folded_names(places: DataFrame, names: str = "names") -> DataFrame:
-    """places with ``search_names``: the folded distinct names, in order.  One pass: names are folded as one text."""
-    joined = folded_lines(F.array_join(names, "\n"))
-    return places.withColumn("search_names", F.array_distinct(F.filter(F.split(joined, "\n"), lambda x: x != ""))).drop(names)
+    """places with ``search_names``: the folded distinct names, in order."""
+    return places.withColumn("search_names", folded_names(names)).drop(names)
 
 
-def folded_lines(c: Column) -> Column:
-    """Each line of a text folded."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    from millrace.text import fold
-
-    @F.pandas_udf(T.StringType())
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else "\n".join(fold(line) for line in x.split("\n")))
-
-    return run(c)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def folded_names(s: pd.Series) -> pd.Series:
+    """The distinct folded names of an array, in order, without blanks."""
+    return s.map(lambda x: None if x is None else list(dict.fromkeys(n for n in map(fold, x) if n)))
 
 
 def countries(lines: DataFrame) -> DataFrame:
@@ -138,8 +133,6 @@ def resolved(rows: DataFrame, places: DataFrame, key: str = "location_id") -> Da
 
 def typeahead(places: DataFrame, query: str, limit: int = 10, kind: str | None = None, country: str | None = None) -> DataFrame:
     """Places that a query names exactly once folded, localities first, then by population."""
-    from millrace.text import fold
-
     own = places.filter(F.array_contains("search_names", fold(query)))
     if kind:
         own = own.filter(F.col("kind") == kind)

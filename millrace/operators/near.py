@@ -14,7 +14,7 @@ salt, with the cell's regions in each part, so no task holds more than its share
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +100,7 @@ class Slabs:
         return point[inside], self.region[at[inside]]
 
 
-def _located(radius: float, band: float, sort_keys: int) -> object:
+def _located(radius: float, band: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key: tuple | None = None
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -168,5 +168,5 @@ def near(points: DataFrame, places: DataFrame, radius_km: float) -> DataFrame:
     )
     keys = ["band", "sector", "part"]
     both = q.select(*keys, F.lit(0).alias("is_point"), "id", "lat", "lng").unionByName(p.select(*keys, F.lit(1).alias("is_point"), "id", "lat", "lng"))
-    found = both.repartition(*keys).sortWithinPartitions(*keys, "is_point").mapInArrow(_located(radius_km, band, 3), "point_id bigint, place_id bigint, km double")
+    found = both.repartition(*keys).sortWithinPartitions(*keys, "is_point").mapInArrow(_located(radius_km, band), "point_id bigint, place_id bigint, km double")
     return found.distinct()

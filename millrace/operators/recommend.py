@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that one block of the neighbours' side holds.
+#: Rows that one block of the neighbours' side holds, about.
 BLOCK = 4096
 
 
@@ -26,10 +26,10 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, least: float = -1.0, ro
     queries, base: (id bigint, vector array<float>).  A stated query set against all rows, in blocks: every block of
     queries meets every block of base rows, keeps k a query, and the blocks' best are ranked at the end.
     """
-    n = max(1, -(-queries.count() // room))
+    n, m = max(1, -(-queries.count() // room)), max(1, -(-base.count() // BLOCK))
     q = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("query"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("block"))
     blocks = q.groupBy("block").agg(F.collect_list(F.struct("query_id", "query")).alias("queries"))
-    spread = base.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).groupBy("part").agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
+    spread = base.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(m)).alias("part")).groupBy("part").agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,7 +46,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, least: float = -1.0, ro
                 row = np.repeat(np.arange(len(qi)), ok.sum(1))
                 yield pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[order[ok]]), pa.array(score[ok])], names=["query_id", "id", "score"])
 
-    found = blocks.join(spread).mapInArrow(best, "query_id bigint, id bigint, score double")
+    found = blocks.join(spread).repartition("block", "part").mapInArrow(best, "query_id bigint, id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
