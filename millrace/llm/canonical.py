@@ -10,6 +10,7 @@ reported as such.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from millrace.text import fold
 
-#: Entries that a dictionary sent to every worker may hold.
-MOST_ENTRIES = 200_000
+#: Entries that a dictionary sent to every worker may hold; larger lists are joined.
+MOST_ENTRIES = 100_000
 #: Kinds of places, from the most specific (fixed values).
 LOCALITY, ADMIN1, COUNTRY = "locality", "admin1", "country"
 
@@ -248,42 +249,127 @@ def resolve(d: Dictionary, label: str | None, city: str | None, state: str | Non
     return -1
 
 
-def dictionary(places: DataFrame) -> Dictionary:
-    """The dictionary of a table of places (geoname_id, kind, canonical_name, ascii_name, search_names, country_code, admin1_code, population).
+_COLUMNS = ["geoname_id", "kind", "canonical_name", "ascii_name", "search_names", "country_code", "admin1_code", "population"]
+_PLACE = "geoname_id bigint, kind string, canonical_name string, ascii_name string, search_names array<string>, country_code string, admin1_code string, population bigint"
 
-    Built on the driver, after a check that the table holds at most MOST_ENTRIES rows.
-    """
-    columns = ["geoname_id", "kind", "canonical_name", "ascii_name", "search_names", "country_code", "admin1_code", "population"]
-    rows = places.select(*columns).filter("geoname_id is not null").dropDuplicates(["geoname_id"]).limit(MOST_ENTRIES + 1).collect()
-    if len(rows) > MOST_ENTRIES:
-        raise ValueError(f"the reference list has more than {MOST_ENTRIES} entries; split it by country first")
+
+def place_of(r) -> Place:
+    """A place from a row of the reference list."""
+    names = dict.fromkeys(n for n in map(fold, (r["canonical_name"], r["ascii_name"], *(r["search_names"] or ()))) if n)
+    return Place(r["geoname_id"], r["kind"], tuple(names), (r["country_code"] or "").upper(), (r["admin1_code"] or "").upper(), r["population"] or 0)
+
+
+#: The dictionary that a worker built last, by its call's token: tasks of one worker share it.
+_built: dict[str, Dictionary] = {}
+
+
+def _shared(token: str, places: list[Place]) -> Dictionary:
+    from millrace.llm import canonical  # the worker's own module: what it keeps outlives a task
+
+    if token not in canonical._built:
+        canonical._built.clear()
+        canonical._built[token] = Dictionary(places)
+    return canonical._built[token]
+
+
+def _resolved(batch: pa.RecordBatch, d: Dictionary, known: dict[tuple, int]) -> pa.RecordBatch:
     out = []
-    for r in sorted(rows, key=lambda r: r["geoname_id"]):
-        names = dict.fromkeys(n for n in map(fold, (r["canonical_name"], r["ascii_name"], *(r["search_names"] or ()))) if n)
-        out.append(Place(r["geoname_id"], r["kind"], tuple(names), (r["country_code"] or "").upper(), (r["admin1_code"] or "").upper(), r["population"] or 0))
-    return Dictionary(out)
+    for t in zip(*(batch.column(c).to_pylist() for c in ("label", "city", "state", "country_code"))):
+        if t not in known:
+            if len(known) > 100_000:
+                known.clear()
+            n = resolve(d, *t)
+            known[t] = d.places[n].key if n >= 0 else 0
+        out.append(known[t])
+    return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.int64())], names=["id", "geoname_id"])
+
+
+def lookup_keys(label: str | None, city: str | None, state: str | None, country: str | None) -> set[str]:
+    """Everything under which a dictionary could hold what the row names: codes, and what deletions leave of its names."""
+    out: set[str] = set()
+    for value in (label, city, state, country):
+        for piece in _pieces(value):
+            words = piece.split()
+            out |= {f"code {w.upper()}" for w in (piece, words[-1]) if _CODE.fullmatch(w)}
+            for part in (piece, " ".join(words[:-1])):
+                for form in forms(part):
+                    out |= deletes(form, allowed(len(form)))
+    return out
+
+
+def place_keys(p: Place) -> set[str]:
+    """The keys under which a dictionary holds a place."""
+    out = {rest for n in p.names for rest in deletes(n, allowed(len(n) + 1))}
+    if p.kind == COUNTRY and p.country:
+        out.add(f"code {p.country}")
+    if p.kind == ADMIN1 and p.admin1:
+        out.add(f"code {p.admin1}")
+    return out
 
 
-def mapped(typed: DataFrame, places: DataFrame) -> DataFrame:
+def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The same as ``mapped`` for lists of any size: typed rows and places meet by a join on the dictionary's keys.
+
+    Distinct typed values are looked up once; each is resolved in a dictionary of just the places it met.
+    """
+
+    def typed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, keys = [], []
+            for n, t in enumerate(zip(*(batch.column(c).to_pylist() for c in ("label", "city", "state", "country_code")))):
+                own = sorted(lookup_keys(*t))
+                at += [n] * len(own)
+                keys += own
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in ("value", "label", "city", "state", "country_code")), pa.array(keys, pa.string())], names=["value", "label", "city", "state", "country_code", "key"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, keys = [], []
+            for n, r in enumerate(batch.to_pylist()):
+                own = sorted(place_keys(place_of(r)))
+                at += [n] * len(own)
+                keys += own
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns), pa.array(keys, pa.string())], names=[*batch.schema.names, "key"])
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                d = Dictionary(sorted((place_of(p) for p in r["found"]), key=lambda p: p.key))
+                n = resolve(d, r["label"], r["city"], r["state"], r["country_code"])
+                out.append(d.places[n].key if n >= 0 else 0)
+            yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(out, pa.int64())], names=["value", "geoname_id"])
+
+    fields = ["label", "city", "state", "country_code"]
+    valued = rows.select("id", *fields, F.md5(F.to_json(F.struct(*fields))).alias("value"))
+    distinct = valued.select("value", *fields).dropDuplicates(["value"])
+    keys = distinct.mapInArrow(typed, "value string, label string, city string, state string, country_code string, key string")
+    entries = places.select(*_COLUMNS).filter("geoname_id is not null").dropDuplicates(["geoname_id"]).mapInArrow(listed, f"{_PLACE}, key string")
+    met = keys.join(entries.select("key", F.struct(*_COLUMNS).alias("place")), "key").groupBy("value").agg(F.first("label").alias("label"), F.first("city").alias("city"), F.first("state").alias("state"), F.first(keys["country_code"]).alias("country_code"), F.collect_set("place").alias("found"))
+    answers = met.mapInArrow(answered, "value string, geoname_id bigint")
+    return valued.join(answers, "value", "left").groupBy("id").agg(F.max(F.coalesce("geoname_id", F.lit(0))).alias("geoname_id"))
+
+
+def mapped(typed: DataFrame, places: DataFrame, most: int = MOST_ENTRIES) -> DataFrame:
     """For each typed row (id bigint, label, city, state, country_code) the place it means: (id, geoname_id), 0 for none.
 
-    Repeated rows count once; of differing rows of one id the largest result stands. Null, empty and very long
-    values are fine; an empty reference list maps everything to 0.
+    places: geoname_id, kind, canonical_name, ascii_name, search_names, country_code, admin1_code, population.  A list of
+    at most ``most`` entries is sent to the workers, which build the dictionary; a larger one is joined.  Repeated rows
+    count once; of differing rows of one id the largest result stands.  Null, empty and very long values are
+    fine; an empty reference list maps everything to 0.
     """
-    d = dictionary(places)
+    rows = typed.select("id", "label", "city", "state", "country_code").filter("id is not null")
+    listed = places.select(*_COLUMNS).filter("geoname_id is not null").dropDuplicates(["geoname_id"]).limit(most + 1).collect()
+    if len(listed) > most:
+        return mapped_by_join(rows, places)
+    sent = typed.sparkSession.sparkContext.broadcast(sorted((place_of(r) for r in listed), key=lambda p: p.key))
+
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = _shared(token, sent.value)
         known: dict[tuple, int] = {}
         for batch in batches:
-            out = []
-            for t in zip(*(batch.column(c).to_pylist() for c in ("label", "city", "state", "country_code"))):
-                if t not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    n = resolve(d, *t)
-                    known[t] = d.places[n].key if n >= 0 else 0
-                out.append(known[t])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.int64())], names=["id", "geoname_id"])
+            yield _resolved(batch, d, known)
 
-    rows = typed.select("id", "label", "city", "state", "country_code").filter("id is not null")
     return rows.mapInArrow(run, "id bigint, geoname_id bigint").groupBy("id").agg(F.max("geoname_id").alias("geoname_id"))

@@ -12,6 +12,9 @@ from millrace.operators.components import components
 from millrace.scratch import cut
 from millrace.tables import table
 
+#: Container sizes that one query makes plans for.
+MOST_LIMITS = 100
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -67,7 +70,9 @@ def _sizes(spark: SparkSession, folder: str) -> DataFrame:
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     """Containers of every capacity in pack_limits for all texts."""
     sizes = _sizes(spark, folder).select("doc", "tokens")
-    limits = table(spark, folder, "pack_limits").filter("limit_name is not null and capacity_tokens > 0").distinct().orderBy("limit_name").limit(1000).collect()
+    limits = table(spark, folder, "pack_limits").filter("limit_name is not null and capacity_tokens > 0").distinct().orderBy("limit_name").limit(MOST_LIMITS + 1).collect()
+    if len(limits) > MOST_LIMITS:
+        raise ValueError(f"more than {MOST_LIMITS} container sizes")
     parts = [packing.packed(sizes, int(r["capacity_tokens"])).select(F.lit(r["limit_name"]).alias("limit_name"), F.col("doc").alias("doc_id"), "piece", "first_token", "tokens", "container") for r in limits]
     if not parts:
         return packing.packed(sizes, 1).limit(0).select(F.lit("").alias("limit_name"), F.col("doc").alias("doc_id"), "piece", "first_token", "tokens", "container")

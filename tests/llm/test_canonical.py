@@ -44,6 +44,15 @@ def test_tables(spark):
     assert ca.mapped(typed.limit(0), places).count() == 0
 
 
+def test_large_lists_are_joined_with_the_same_result(spark):
+    places = spark.createDataFrame(PLACES, SCHEMA)
+    r = random.Random(8)
+    pieces = ["Hentzau", "HENTZUA", "SL", "ru", "Ruritania", "Nebelsbad", "near Tarlenheim", "N. Grossburg", "Atlantis", "Altstadthof XX", "Zubrowca", "", None]
+    typed = spark.createDataFrame([(i, *(r.choice([", ".join(x for x in r.sample(pieces, 2) if x), r.choice(pieces)]) for _ in range(2)), r.choice(pieces), r.choice(pieces), "x") for i in range(300)], ROWS)
+    small, joined = ({tuple(x) for x in ca.mapped(typed, places, most=m).collect()} for m in (100, 3))
+    assert len(small) == 300 and small == joined
+
+
 def osa(a, b):
     d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
     for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
