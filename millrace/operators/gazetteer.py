@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,14 +50,16 @@ def search_names(name: Column, ascii_name: Column, shown: Column, country_code:
 
 
 def with_folded_names(places: DataFrame, names: str = "names") -> DataFrame:
-    """places with ``search_names``: the folded distinct names, in order."""
-    return places.withColumn("search_names", folded_names(names)).drop(names)
+    """places with ``search_names``: the distinct folded names of an array column, in order, without blanks."""
+    rest = [c for c in places.columns if c != names]
+    schema = T.StructType([places.schema[c] for c in rest] + [T.StructField("search_names", T.ArrayType(T.StringType()))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [None if x is None else list(dict.fromkeys(n for n in map(fold, x) if n)) for x in batch.column(len(rest)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(own, pa.list_(pa.string()))], names=[*rest, "search_names"])
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def folded_names(s: pd.Series) -> pd.Series:
-    """The distinct folded names of an array, in order, without blanks."""
-    return s.map(lambda x: None if x is None else list(dict.fromkeys(n for n in map(fold, x) if n)))
+    return places.select(*rest, names).mapInArrow(run, schema)
 
 
 def countries(lines: DataFrame) -> DataFrame:
