@@ -413,7 +413,7 @@ class Similar:
     the similar pairs (a, b) of representatives, a < b, all at ``threshold`` or more.
     """
 
-    def __init__(self, records: DataFrame, n: int, threshold: float, text_of: Callable[[str | None], str] = identity, rows: int = 6, miss: float = 0.002, estimate: int = 64, deviations: float = 4.5) -> None:
+    def __init__(self, records: DataFrame, n: int, threshold: float, text_of: Callable[[str | None], str] = identity, rows: int = 6, miss: float = 0.0005, estimate: int = 64, deviations: float = 4.5) -> None:
         bands = rows_and_bands(threshold, miss, rows)
         m = max(rows * bands, estimate)
         if m > 1024:
