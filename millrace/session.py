@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -28,6 +30,7 @@ def _ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
     root = Path(__file__).resolve().parent
     target = Path(tempfile.mkdtemp(prefix="millrace-ship-")) / "millrace.zip"
+    atexit.register(shutil.rmtree, target.parent, True)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for path in sorted(root.rglob("*.py")):
             z.write(path, path.relative_to(root.parent))
