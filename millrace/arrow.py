@@ -61,3 +61,17 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def spread(df):
+    """The same rows in at least as many partitions as there are cores.
+
+    A table in one small file comes as one partition, and what Python does to it would run in one task; larger
+    tables come in enough partitions and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, MOST_SPREAD) else df
+
+
+#: Partitions below which a table may be spread.
+MOST_SPREAD = 64
