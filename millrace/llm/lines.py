@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.arrow import groups
+from millrace.arrow import groups, spread
 from millrace.scratch import cut
 from millrace.text import body_of
 
@@ -190,13 +190,13 @@ def posting_lines(jobs: DataFrame) -> DataFrame:
     without id are left out, repeated rows of one id count once, a null source is a source of its own.
     """
     source = F.to_json(F.struct("ats", "board_token"))
-    read = jobs.select("id", source.alias("source"), "raw_json").mapInArrow(_body_lines, LINES)
+    read = spread(jobs.select("id", source.alias("source"), "raw_json")).mapInArrow(_body_lines, LINES)
     return read.dropDuplicates(["id"])
 
 
 def text_lines(documents: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
     """Line ids of plain texts, in the form that ``repeated_lines`` takes."""
-    read = documents.select(F.col(id_column).cast("string").alias("id"), F.col(source_column).cast("string").alias("source"), F.col(text_column).alias("text")).mapInArrow(_lines_of, LINES)
+    read = spread(documents.select(F.col(id_column).cast("string").alias("id"), F.col(source_column).cast("string").alias("source"), F.col(text_column).alias("text"))).mapInArrow(_lines_of, LINES)
     return read.dropDuplicates(["id"])
 
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.arrow import groups, signed
+from millrace.arrow import groups, spread
 from millrace.bloom import Bloom
 from millrace.scratch import cut
 from millrace.text import body_of
@@ -418,7 +418,7 @@ class Similar:
         m = max(rows * bands, estimate)
         if m > 1024:
             raise ValueError(f"{m} registers are more than the hash constants serve; use fewer rows or a larger miss")
-        records = records.select("id", "raw")
+        records = spread(records.select("id", "raw"))
         sketches = cut(records.mapInArrow(_sketched(text_of, n, m, rows, bands, estimate), SKETCHED), "sketches")
         # one record for each id, then one for each set; only these few columns cross the network for it
         one = sketches.groupBy("id").agg(F.min(F.struct("no", "class_key")).alias("r")).select("id", "r.no", "r.class_key")

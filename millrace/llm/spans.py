@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.arrow import signed, slices
+from millrace.arrow import signed, slices, spread
 from millrace.bloom import Bloom
 from millrace.llm import winnow
 from millrace.scratch import cut, place
@@ -229,7 +229,7 @@ class SpanIndex:
     def add(self, texts: DataFrame) -> int:
         """Write the anchors of a batch as a sorted run; returns the run's number."""
         path = place(self.spark, "run")
-        own = texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull())
+        own = spread(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()))
         own.mapInArrow(_run_of(self.span, self.gram), RUN).sortWithinPartitions("h").write.option("compression", "zstd").parquet(path)
         self.runs.append(path)
         return len(self.runs) - 1

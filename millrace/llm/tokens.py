@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from millrace.arrow import spread
+
 #: Splits a text before byte pairs are merged (fixed value that belongs to the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Where the vocabulary lies if the caller names no other place; a file of (base64 token, rank) lines.
@@ -39,4 +41,4 @@ def token_counts(texts: DataFrame, keep: list[str], text: str = "text", vocabula
             counts = np.fromiter((len(e.encode_ordinary(t)) if t else 0 for t in own), np.int64, len(own))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(counts)], names=[*keep, "tokens"])
 
-    return texts.select(*keep, text).mapInArrow(run, schema)
+    return spread(texts.select(*keep, text)).mapInArrow(run, schema)
