@@ -20,16 +20,25 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int, least: float = -1.0, room: int = 4096) -> DataFrame:
+def _dealt(rows: DataFrame, name: str, size: int, within: str | None) -> DataFrame:
+    """rows with the number of their block of about ``size`` rows; each value of ``within`` has blocks of its own, null has none."""
+    if within is None:
+        return rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(max(1, -(-rows.count() // size)))))
+    sizes = rows.groupBy(within).agg(F.ceil(F.count("*") / size).alias("_blocks"))
+    return rows.join(sizes, within).withColumn(name, F.pmod(F.xxhash64("id"), F.col("_blocks"))).drop("_blocks")
+
+
+def nearest(queries: DataFrame, base: DataFrame, k: int, least: float = -1.0, room: int = 4096, within: str | None = None) -> DataFrame:
     """The k most similar base rows of each query by cosine: (query_id, id, score, rank); ties by id; a row isn't its own neighbour.
 
     queries, base: (id bigint, vector array<float>).  A stated query set against all rows, in blocks: every block of
     queries meets every block of base rows, keeps k a query, and the blocks' best are ranked at the end.
+    within: a column of both; a query is then searched among the rows of its own value only, before the k are taken.
     """
-    n, m = max(1, -(-queries.count() // room)), max(1, -(-base.count() // BLOCK))
-    q = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("query"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("block"))
-    blocks = q.groupBy("block").agg(F.collect_list(F.struct("query_id", "query")).alias("queries"))
-    spread = base.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(m)).alias("part")).groupBy("part").agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
+    own = [within] if within else []
+    blocks = _dealt(queries, "block", room, within).groupBy(*own, "block").agg(F.collect_list(F.struct(F.col("id").alias("query_id"), F.col("vector").alias("query"))).alias("queries"))
+    spread = _dealt(base, "part", BLOCK, within).groupBy(*own, "part").agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
+    pairs = blocks.join(spread, own) if own else blocks.join(spread)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,7 +55,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, least: float = -1.0, ro
                 row = np.repeat(np.arange(len(qi)), ok.sum(1))
                 yield pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[order[ok]]), pa.array(score[ok])], names=["query_id", "id", "score"])
 
-    found = blocks.join(spread).repartition("block", "part").mapInArrow(best, "query_id bigint, id bigint, score double")
+    found = pairs.repartition(*own, "block", "part").mapInArrow(best, "query_id bigint, id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 

@@ -424,12 +424,11 @@ top AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY query_id ORDER B
 own AS (SELECT * FROM top QUALIFY row_number() OVER (PARTITION BY query_id, owner ORDER BY pass_no, s DESC, id) = 1)
 SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY pass_no, s DESC, id) AS INTEGER) AS rank FROM own QUALIFY rank <= 3""")
 def recommendations(spark: SparkSession, folder: str) -> DataFrame:
-    """Of the 24 nearest, the three best of different owners, those of the query's own owner first."""
-    e = table(spark, folder, "embeddings")
-    v = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    hits = recommend.nearest(v.filter("id % 20 = 0"), v, 24).drop("rank")
-    hits = hits.join(e.select(F.col("vec_id").alias("id"), F.col("label").alias("owner")), "id").join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("own")), "query_id")
-    return recommend.one_per_owner(hits.withColumn("pass_no", F.when(F.col("owner") == F.col("own"), 0).otherwise(1)), 3).select("query_id", "id", "rank")
+    """Three of different owners: the best of the 24 nearest rows of the query's own owner, then those of the 24 nearest of all rows."""
+    v = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("owner"))
+    q = v.filter("id % 20 = 0")
+    hits = recommend.nearest(q, v, 24, within="owner").withColumn("pass_no", F.lit(0)).unionByName(recommend.nearest(q, v, 24).withColumn("pass_no", F.lit(1)))
+    return recommend.one_per_owner(hits.join(v.select("id", "owner"), "id"), 3).select("query_id", "id", "rank")
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2")
