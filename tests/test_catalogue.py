@@ -25,3 +25,17 @@ def test_nearest_within_a_column_equals_brute_force(spark):
         for k, j in enumerate(sorted(mine, key=lambda j: -float(unit[i] @ unit[j]))[:4]):
             want[i, k + 1] = j
     assert got == want
+
+
+def test_boards_without_cached_lines_have_them_computed(spark, tmp_path):
+    legal, own = "We are an equal opportunity employer", "A line that only this one posting has, number {}"
+    documents = [(f"{b}{i}", b, "\n".join([own.format(i), legal, "short"])) for b in ("cached", "null", "empty", "unlisted") for i in range(4)]
+    documents += [(f"two{i}", "two", f"{own.format(i)}\n{legal}") for i in range(2)] + [("none", None, legal), ("blank", "null", None)]
+    documents += [(f"some{i}", "some", f"{own.format(i)}\n{legal}" if i < 2 else own.format(i)) for i in range(5)]
+    spark.createDataFrame(documents, "doc_id string, board_token string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    first = spark.range(1).select(catalogue.tx.line_hash(catalogue.F.lit(own.format(0)))).first()[0]
+    boards = [("cached", [first]), ("null", None), ("empty", []), ("two", None), ("some", None)]
+    spark.createDataFrame(boards, "board_token string, boilerplate_hashes array<string>").write.parquet(f"{tmp_path}/pipeline_companies.parquet")
+    got = {x["doc_id"]: x["n_chars"] for x in catalogue.without_cached_lines(spark, str(tmp_path)).collect()}
+    kept = {"cached0": f"{legal}\nshort", **{f"{b}{i}": f"{own.format(i)}\nshort" for b in ("null", "empty", "unlisted") for i in range(4)}}
+    assert got == {d: len(kept.get(d, text)) for d, _, text in documents if text is not None}
