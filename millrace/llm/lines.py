@@ -11,6 +11,7 @@ documents are then counted exactly over the whole source with map-side combinati
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -211,6 +212,42 @@ def frequent_blocks(lines: DataFrame, share: float = SHARE, least: int = LEAST_D
     return parts.mapInArrow(_chunk_blocks(share), "source string, block array<bigint>").distinct()
 
 
+def _parts_counted(key, chunk: pa.Table, blocks: pa.Table) -> pa.Table:
+    """In how many of a chunk's documents every block stands, and every part of a block that stands in one."""
+    parts = {b[i:j] for b in map(tuple, blocks.column("block").to_pylist()) for i in range(len(b)) for j in range(i + 1, len(b) + 1)}
+    many: Counter[tuple[int, ...]] = Counter()
+    for keys in map(tuple, chunk.column("keys").to_pylist()):
+        seen = set()
+        for i in range(len(keys)):
+            for j in range(i + 1, len(keys) + 1):  # the beginning of a part is a part
+                if keys[i:j] not in parts:
+                    break
+                seen.add(keys[i:j])
+        many.update(seen)
+    return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(many), pa.string()), pa.array([list(b) for b in many], pa.list_(pa.int64())), pa.array(list(many.values()), pa.int64())], names=["source", "block", "many"])
+
+
+def counted_blocks(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
+    """Blocks (source, block array<bigint>) in more than ``share`` of the source's documents that no longer block of as many documents holds.
+
+    A source of one chunk has them from its suffix array.  Of others the chunks' blocks and all their parts are
+    counted in every chunk: a block that no longer one holds in the source may be held by one in each of the chunks.
+    """
+    lines = cut(lines, "lines")
+    chunks = _chunks(lines, chunk, least)
+    candidates = cut(frequent_blocks(lines, share, least, chunk), "blocks")
+    sizes = chunks.select(F.col("source").alias("s"), "n").distinct()
+    known = candidates.join(sizes, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    dealt = known.filter(F.col("n") > chunk).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / chunk) - 1)))
+    held = chunks.filter(F.col("n") > chunk).select("source", "chunk", "keys").groupBy("source", "chunk").cogroup(dealt.groupBy("source", "chunk"))
+    counts = held.applyInArrow(_parts_counted, "source string, block array<bigint>, many bigint").groupBy("source", "block").agg(F.sum("many").alias("many"))
+    often = cut(counts.join(sizes, F.col("source").eqNullSafe(F.col("s"))).filter(F.col("many") > F.lit(share) * F.col("n")).select("source", "block", "many"), "counted")
+    shorter = F.array(F.slice("block", F.lit(2), F.size("block") - 1), F.slice("block", F.lit(1), F.size("block") - 1))
+    inner = often.filter(F.size("block") > 1).select(F.col("source").alias("s"), F.explode(shorter).alias("b"), F.col("many").alias("m")).distinct()
+    whole = often.join(inner, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")) & (F.col("many") == F.col("m")), "left_anti")
+    return known.filter(F.col("n") <= chunk).select("source", "block").unionByName(whole.select("source", "block"))
+
+
 def repeated_lines(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
     """Lines to take out: rows (id, line_no) of ``lines`` that belong to a block in more than ``share`` of the source's documents.
 

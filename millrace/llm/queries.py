@@ -30,8 +30,8 @@ def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Blocks of consecutive lines that repeat within a board (candidates of its chunks), by length."""
-    found = lines.frequent_blocks(cut(lines.posting_lines(table(spark, folder, "pipeline_jobs")), "lines"))
+    """Blocks of consecutive lines in more than 40 % of their board's jobs, by length."""
+    found = lines.counted_blocks(lines.posting_lines(table(spark, folder, "pipeline_jobs")))
     return found.select(F.get_json_object("source", "$.ats").alias("ats"), F.get_json_object("source", "$.board_token").alias("board_token"), F.size("block").alias("n_lines"), F.hex(F.xxhash64("block")).alias("block_id"))
 
 

@@ -79,3 +79,21 @@ def test_bodies_lose_exactly_the_lines(spark):
     texts = spark.createDataFrame([("a", "x\ny\nz"), ("b", "x"), ("c", None)], "id string, text string")
     removed = spark.createDataFrame([("a", 1), ("a", 2), ("b", 0)], "id string, line_no int")
     assert {r["id"]: (r["text"], r["lines_removed"]) for r in lines.without_lines(texts, removed).collect()} == {"a": ("x", 2), "b": ("", 1), "c": (None, 0)}
+
+
+def test_blocks_are_counted_over_the_whole_source(spark):
+    r = random.Random(5)
+    base = [(f"a{i}", "many", [1, 2, 3, 4] if r.random() < 0.42 else [r.randrange(5, 9) for _ in range(r.randrange(1, 7))]) for i in range(60)]
+    base += [(f"b{i}", None, ([10, 11, 12] if r.random() < 0.5 else [11, 12, 13]) + [100 + i]) for i in range(30)]
+    base += [(f"c{i}", "few", [1, 2, 1, 2] if i % 2 else [2, 1]) for i in range(8)] + [(f"d{i}", "four", [1]) for i in range(4)] + [("c8", "few", [])]
+    df = spark.createDataFrame([(i, s, k, list(range(len(k)))) for i, s, k in base], lines.LINES)
+    want = set()
+    for source in ("many", None, "few"):
+        own = [k for _, s, k in base if s == source]
+        many = collections.Counter(b for k in own for b in {tuple(k[i:j]) for i in range(len(k)) for j in range(i + 1, len(k) + 1)})
+        often = {b: n for b, n in many.items() if n > 0.4 * len(own)}
+        want |= {(source, b) for b, n in often.items() if not any(often.get(x) == n for x in often if len(x) == len(b) + 1 and b in (x[1:], x[:-1]))}
+    for chunk in (5, 9, 4000):
+        got = [(x["source"], tuple(x["block"])) for x in lines.counted_blocks(df, chunk=chunk).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert {(x["source"], tuple(x["block"])) for x in lines.frequent_blocks(df, chunk=5).collect()} != want
