@@ -88,8 +88,12 @@ WITH t AS (SELECT id, content_hash FROM {_STATE} WHERE snapshot_no = 1), s AS (S
 SELECT CASE WHEN t.id IS NULL THEN 'new' WHEN s.id IS NULL THEN 'absent' WHEN t.content_hash IS NOT DISTINCT FROM s.content_hash THEN 'unchanged' ELSE 'changed' END AS change, count(*) AS n
 FROM t FULL OUTER JOIN s ON t.id = s.id GROUP BY 1""")
 def change_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """New, changed, unchanged and absent records of the second snapshot against the first."""
-    return merge.classified(_state(spark, folder, 1).select("id", "content_hash"), _state(spark, folder, 2).select("id", "content_hash"), ["id"], "content_hash").groupBy("change").agg(F.count("*").alias("n"))
+    """New, changed, unchanged and absent records of every snapshot against the one before."""
+    state = _state(spark, folder).filter("snapshot_no is not null").select("id", "snapshot_no", "content_hash")
+    numbers = table(spark, folder, "job_snapshots").filter("snapshot_no is not null").select("snapshot_no").distinct()
+    following = numbers.join(numbers.select((F.col("snapshot_no") + 1).alias("snapshot_no")), "snapshot_no")
+    before = state.withColumn("snapshot_no", F.col("snapshot_no") + 1).join(following, "snapshot_no", "left_semi")
+    return merge.classified(before, state.join(following, "snapshot_no", "left_semi"), ["id", "snapshot_no"], "content_hash").groupBy("snapshot_no", "change").agg(F.count("*").alias("n"))
 
 
 @query(f"""

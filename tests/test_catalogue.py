@@ -39,3 +39,11 @@ def test_boards_without_cached_lines_have_them_computed(spark, tmp_path):
     got = {x["doc_id"]: x["n_chars"] for x in catalogue.without_cached_lines(spark, str(tmp_path)).collect()}
     kept = {"cached0": f"{legal}\nshort", **{f"{b}{i}": f"{own.format(i)}\nshort" for b in ("null", "empty", "unlisted") for i in range(4)}}
     assert got == {d: len(kept.get(d, text)) for d, _, text in documents if text is not None}
+
+
+def test_every_pair_of_consecutive_snapshots_is_counted(spark, tmp_path):
+    held = {1: {"a": "x", "b": "x"}, 2: {"a": "y", "b": "x", "c": None}, 3: {"c": None}, 5: {"d": "x"}, 6: {"d": "x", "e": "x"}}
+    rows = [(i, n, h, None, None, None) for n, own in held.items() for i, h in own.items()] + [(None, 3, "x", None, None, None), ("z", None, "x", None, None, None)]
+    spark.createDataFrame(rows, "id string, snapshot_no int, content_hash string, delivered_at timestamp, last_seen_at timestamp, title string").write.parquet(f"{tmp_path}/job_snapshots.parquet")
+    got = {(x["snapshot_no"], x["change"]): x["n"] for x in catalogue.change_counts(spark, str(tmp_path)).collect()}
+    assert got == {(2, "changed"): 1, (2, "unchanged"): 1, (2, "new"): 1, (3, "absent"): 2, (3, "unchanged"): 1, (6, "unchanged"): 1, (6, "new"): 1}
