@@ -1,14 +1,15 @@
 """What changed between consecutive full snapshots.
 
-Method: invertible Bloom lookup tables.  The live keys of each snapshot are spread over buckets;
-every record goes into three cells of its bucket, each cell keeping a count and the XOR of key
+Method: invertible Bloom lookup tables.  Records are dealt to hash buckets by key; in each bucket every live
+record of a snapshot goes into three cells of that snapshot's table, each cell keeping a count and the XOR of key
 hashes, value digests and checks.  Subtracting the tables of two snapshots cancels what they share,
-and peeling cells that hold one record gives the differing pairs of key hash and digest.  Buckets
-whose table doesn't peel empty are built again with more cells until all do.  Recovered keys are
-joined to the records, whose digests confirm each change.
+and peeling cells that hold one record gives the differing pairs of key hash and digest.  A table's size follows
+an estimate of the difference (from the records whose hash falls in a small share of its range); a bucket that doesn't
+peel empty, or yields a pair that no record of the bucket confirms, gets a larger table until all do.
 
-Cells are rows and their sums and XORs are ordinary aggregates, so partial tables combine on the map
-side and what is shuffled for a pair of snapshots depends on the number of cells, not of records.
+The only shuffle is the one that brings the rows of a key together, after combination on the map side: it deals
+the keys to buckets as well, so tables are built, subtracted, peeled, verified against the bucket's own records and
+classified where the records lie, and no cell or finding crosses the network.
 """
 
 from __future__ import annotations
@@ -19,16 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.arrow import groups
-from millrace.scratch import cut
-
-#: Records of a snapshot in one bucket, about; cells of a bucket for each record at first; growth of a failed bucket.
-BUCKET, CELLS_PER_RECORD, GROWTH = 2000, 0.5, 4
+#: Keys of one bucket, about; one in so many of them estimates the difference; growth of a failed table.
+BUCKET, SAMPLE, GROWTH = 2000, 16, 2
+#: Cells for each record of the estimated difference, and the fewest cells of one of a table's three parts.
+CELLS, LEAST_THIRD = 1.6, 8
+#: Snapshots compared in one pass over the table; a longer history takes several, each reading its own snapshots.
+PASS = 16
 _HASHES, _CHECK = 3, 77
-#: Groups of neighbouring buckets, as a power of two, by which records are laid out.
-_GROUPS, _MICRO = 10, 20
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -43,23 +42,6 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"best.{c}").alias(c) for c in rows.columns])
 
 
-def _subtracted(records: DataFrame, third: int) -> DataFrame:
-    """Cells (pair, bucket, cell, n, keys, values, checks) of signed records (pair, bucket, sign, key, value), without empty ones.
-
-    The tables of the two snapshots of a pair are built and subtracted in one aggregation, since
-    counts carry the sign and XOR is its own inverse.
-    """
-    places = F.array(*[F.lit(i).cast("bigint") * third + F.pmod(F.xxhash64("key", "value", F.lit(i)), F.lit(third).cast("bigint")) for i in range(_HASHES)])
-    spread = records.select("pair", "bucket", "sign", "key", "value", F.xxhash64("key", "value", F.lit(_CHECK)).alias("check"), F.explode(places).alias("cell"))
-    cells = spread.groupBy("pair", "bucket", "cell").agg(F.sum("sign").alias("n"), F.expr("bit_xor(key)").alias("keys"), F.expr("bit_xor(value)").alias("values"), F.expr("bit_xor(check)").alias("checks"))
-    return cells.filter("n <> 0 or keys <> 0 or `values` <> 0 or checks <> 0")
-
-
-PEELED = T.StructType(
-    [T.StructField("pair", T.IntegerType()), T.StructField("bucket", T.LongType()), T.StructField("key", T.LongType()), T.StructField("value", T.LongType()), T.StructField("sign", T.IntegerType()), T.StructField("whole", T.BooleanType())]
-)
-
-
 _P1, _P2, _P3, _P4, _P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
 
 
@@ -123,7 +105,7 @@ def peel(cell: np.ndarray, n: np.ndarray, keys: np.ndarray, values: np.ndarray,
         one = one[_salted(k[one], v[one], _CHECK) == c[one]]
         if not len(one):
             break
-        _, first = np.unique(np.stack([k[one], v[one]]), axis=1, return_index=True)
+        _, first = np.unique(c[one], return_index=True)  # a check stands for its key and digest
         one = one[first]
         key, value, sign = k[one].copy(), v[one].copy(), count[one].copy()
         check = c[one].copy()
@@ -145,65 +127,126 @@ def peel(cell: np.ndarray, n: np.ndarray, keys: np.ndarray, values: np.ndarray,
     return join(out_k, np.uint64), join(out_v, np.uint64), join(out_s, np.int64), whole
 
 
-def _peeled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for t in groups(batches, ["pair", "bucket"]):
-        col = lambda name: t.column(name).to_numpy()
-        third = int(t.column("third")[0].as_py())
-        key, value, sign, whole = peel(col("cell"), col("n"), _u(col("keys")), _u(col("values")), _u(col("checks")), third)
-        if not whole:
-            key, value, sign = key[:0], value[:0], sign[:0]
-        m = len(key) + (not whole)
-        fill = lambda x: np.concatenate([x.view(np.int64), np.zeros(m - len(x), np.int64)])
-        if m:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, t.column("pair")[0].as_py(), np.int32)), pa.array(np.full(m, t.column("bucket")[0].as_py(), np.int64)), pa.array(fill(key)), pa.array(fill(value)), pa.array(fill(sign).astype(np.int32)), pa.array(np.full(m, whole))],
-                names=PEELED.names,
-            )
+class Table:
+    """The table of one snapshot's records in one bucket."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, third: int) -> None:
+        size = _HASHES * third
+        self.third = third
+        self.count = np.zeros(size, np.int64)
+        self.keys, self.values, self.checks = (np.zeros(size, np.uint64) for _ in range(3))
+        if len(keys):
+            check = _salted(keys, values, _CHECK)
+            for at in _places(keys, values, third).T:
+                self.count += np.bincount(at, minlength=size)
+                np.bitwise_xor.at(self.keys, at, keys)
+                np.bitwise_xor.at(self.values, at, values)
+                np.bitwise_xor.at(self.checks, at, check)
+
+    def less(self, other: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+        """What this table holds beyond the other (sign +1) and the other beyond this (-1), peeled; and whether nothing is left."""
+        cell = np.arange(len(self.count))
+        return peel(cell, self.count - other.count, self.keys ^ other.keys, self.values ^ other.values, self.checks ^ other.checks, self.third)
+
+
+def estimated(keys: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tuple[np.ndarray, np.ndarray]) -> int:
+    """About how many records differ, from the keys whose hash falls in a SAMPLE-th of its range; before, after: (live, value) of each key."""
+    at = np.flatnonzero(keys % np.uint64(SAMPLE) == 0)
+    a, b = before[0][at], after[0][at]
+    both = a & b
+    return SAMPLE * int((a ^ b).sum() + 2 * (both & (before[1][at] != after[1][at])).sum())
 
 
-def differing(records: DataFrame, pairs: list[tuple[int, int]], bucket: int = BUCKET, cells_per_record: float = CELLS_PER_RECORD, growth: int = GROWTH) -> DataFrame:
-    """Differing (pair, key, value, sign) of snapshots, by subtracting and peeling their tables.
+def bucket_changes(keys: np.ndarray, states: list[tuple[np.ndarray, np.ndarray]], cells: float = CELLS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each snapshot after the first: (places in ``keys``, 0 added, 1 removed, 2 changed) against the one before.
 
-    records: snapshot, key, value (64-bit hashes; a key once in each snapshot).  pairs: (before, after);
-    a row's pair is the number of its later snapshot and its sign +1 for what that one has.
+    keys: distinct key hashes; states: for every snapshot (live, value digest) of each key.
     """
-    most = records.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 1
-    bits = min(_MICRO, max(0, (-(-most // bucket) - 1).bit_length()))
-    micro = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << _MICRO))
-    roles = F.array(*[F.struct(F.lit(b if sign > 0 else a).alias("of"), F.lit(b).alias("pair"), F.lit(sign).alias("sign")) for a, b in pairs for sign in (-1, 1)])
-    laid = records.select("snapshot", "key", "value", micro.alias("micro")).withColumn("group", F.shiftright("micro", _MICRO - _GROUPS)).repartition("group")
-    signed = laid.select(F.explode(F.filter(roles, lambda r: r["of"] == F.col("snapshot"))).alias("role"), "key", "value", F.shiftright("micro", _MICRO - bits).alias("bucket")).select("role.pair", "role.sign", "key", "value", "bucket")
-    third = max(8, int(bucket * cells_per_record) // _HASHES)
-    done: DataFrame | None = None
-    while True:
-        table = _subtracted(signed, third).withColumn("third", F.lit(third))
-        out = cut(table.repartition("pair", "bucket").sortWithinPartitions("pair", "bucket").mapInArrow(_peeled, PEELED), "peeled")
-        fine = out.filter("whole").select("pair", "key", "value", "sign")
-        done = fine if done is None else done.unionByName(fine)
-        failed = out.filter("not whole").select("pair", "bucket").distinct()
-        if failed.isEmpty():
-            return done
-        signed = signed.join(failed, ["pair", "bucket"], "left_semi")
-        third *= growth
-
-
-def snapshot_changes(rows: DataFrame, key: str, snapshot: str, delivered: str, value: Column, live: Column) -> DataFrame:
-    """Records added, removed or changed between each snapshot and the one numbered one less.
+    order = np.argsort(keys)
+    ranked = keys[order]
+    out = []
+    tables: dict[tuple[int, int], Table] = {}
+
+    def table(k: int, third: int) -> Table:
+        if (k, third) not in tables:
+            live, value = states[k]
+            tables[k, third] = Table(keys[live], value[live], third)
+        return tables[k, third]
+
+    guesses = [estimated(keys, a, b) for a, b in zip(states[:-1], states[1:])]
+    start = max(LEAST_THIRD, int(max(guesses, default=0) * cells) // _HASHES + 1)
+    for k in range(1, len(states)):
+        third = start
+        while True:
+            key, value, sign, whole = table(k, third).less(table(k - 1, third))
+            at = np.minimum(np.searchsorted(ranked, key), max(len(ranked) - 1, 0))
+            place = order[at] if len(ranked) else at
+            # a recovered pair is right only where the snapshot's own record confirms it
+            if whole and len(key):
+                new, old = states[k], states[k - 1]
+                live = np.where(sign > 0, new[0][place], old[0][place])
+                own = np.where(sign > 0, new[1][place], old[1][place])
+                whole = bool(((ranked[at] == key) & live & (own == value)).all())
+            if whole:
+                break
+            third *= GROWTH
+        found, first, many = np.unique(place, return_index=True, return_counts=True)
+        out.append((found, np.where(many > 1, 2, np.where(sign[first] > 0, 0, 1)) if len(found) else np.zeros(0, np.int64)))
+    return out
+
+
+def _compared(numbers: list[int], bucket: int) -> object:
+    kinds = np.array(["added", "removed", "changed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or len(numbers) < 2:
+                continue
+            keys = _u(batch.column("key").to_numpy())
+            states = [(batch.column(f"live{k}").to_numpy(zero_copy_only=False).astype(bool), _u(batch.column(f"value{k}").to_numpy())) for k in range(len(numbers))]
+            deal = (_fmix(keys) % np.uint64(-(-batch.num_rows // bucket))).astype(np.int64)
+            _, index, many = np.unique(keys, return_index=True, return_counts=True)
+            shared = np.ones(len(keys), bool)
+            shared[index[many == 1]] = False
+            at, snapshot, change = [], [], []
+            # keys of one hash can't be told apart in a table: compared as they are
+            same = np.flatnonzero(shared)
+            groups = [np.flatnonzero((deal == g) & ~shared) for g in range(int(deal.max()) + 1)]
+            for own, changes in [*((g, bucket_changes(keys[g], [(a[g], v[g]) for a, v in states])) for g in groups), (same, _plain([(a[same], v[same]) for a, v in states]))]:
+                for number, (place, kind) in zip(numbers[1:], changes):
+                    at.append(own[place])
+                    snapshot.append(np.full(len(place), number, np.int32))
+                    change.append(kind)
+            rows = np.concatenate(at)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows)), pa.array(np.concatenate(snapshot)), pa.array(kinds[np.concatenate(change).astype(np.int64)], pa.string())], names=["id", "snapshot", "change"])
+
+    return run
+
+
+def _plain(states: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    out = []
+    for (a, v), (b, w) in zip(states[:-1], states[1:]):
+        kind = np.where(a & b, np.where(v != w, 2, -1), np.where(b, 0, np.where(a, 1, -1)))
+        out.append((np.flatnonzero(kind >= 0), kind[kind >= 0]))
+    return out
+
+
+def snapshot_changes(rows: DataFrame, key: str, snapshot: str, delivered: str, value: Column, live: Column, bucket: int = BUCKET) -> DataFrame:
+    """Records added, removed or changed between each snapshot and the one delivered before it (the next smaller number).
 
     rows: any columns.  Among rows of one key in one snapshot the one with the latest ``delivered``
     counts (a null is earliest; ties: the largest by live, then value).  Rows without key or snapshot
     are left out.  ``value`` may be null: null equals null and differs from any value.  Returns
-    (key, snapshot, change); an empty table or a single snapshot yields no row.
+    (id, snapshot, change); an empty table or a single snapshot yields no row.
     """
-    slim = rows.select(F.col(key).alias("id"), F.col(snapshot).alias("snapshot"), F.col(delivered).alias("delivered"), F.coalesce(live, F.lit(False)).alias("live"), F.when(value.isNull(), F.lit(0)).otherwise(F.xxhash64(value)).alias("value")).filter("id is not null and snapshot is not null")
-    state = cut(latest(slim, ["id", "snapshot"], ["delivered", "live", "value"]).filter("live").select("id", F.col("snapshot").cast("int").alias("snapshot"), "value", F.xxhash64("id").alias("key")), "state")
-    known = sorted(r[0] for r in rows.select(F.col(snapshot).cast("int").alias("k")).filter("k is not null").distinct().collect())
-    pairs = [(k - 1, k) for k in known if k - 1 in known]
-    if not pairs:
-        return state.select("id", "snapshot", F.lit("").alias("change")).limit(0)
-    found = differing(state.select("snapshot", "key", "value"), pairs)
-    # an id is named only where its own row confirms the recovered key and digest
-    wanted = found.select("pair", "key", "value", (F.col("pair") - F.when(F.col("sign") < 0, 1).otherwise(0)).alias("snapshot"), "sign")
-    named = wanted.join(state, ["snapshot", "key", "value"]).groupBy("id", "pair").agg(F.min("sign").alias("low"), F.max("sign").alias("high"))
-    change = F.when(F.col("low") == F.col("high"), F.when(F.col("low") > 0, "added").otherwise("removed")).otherwise("changed")
-    return named.select("id", F.col("pair").alias("snapshot"), change.alias("change"))
+    known = sorted(r[0] for r in rows.select(F.col(snapshot).cast("int").alias("k")).filter("k is not null").distinct().collect())  # one small number for each whole copy of the table
+    slim = rows.select(F.col(key).alias("id"), F.col(snapshot).cast("int").alias("snapshot"), F.col(delivered).alias("delivered"), F.coalesce(live, F.lit(False)).alias("live"), F.when(value.isNull(), F.lit(0)).otherwise(F.xxhash64(value)).alias("value")).filter("id is not null and snapshot is not null")
+    out = None
+    for first in range(0, max(1, len(known) - 1), PASS - 1):
+        numbers = known[first : first + PASS]
+        state = F.struct("delivered", "live", "value")
+        last = slim.filter(F.col("snapshot").isin(numbers)).groupBy("id").agg(*[F.max(F.when(F.col("snapshot") == n, state)).alias(f"s{k}") for k, n in enumerate(numbers)]) if numbers else slim.select("id").limit(0)
+        laid = last.select("id", F.xxhash64("id").alias("key"), *[x for k in range(len(numbers)) for x in (F.coalesce(F.col(f"s{k}.live"), F.lit(False)).alias(f"live{k}"), F.when(F.col(f"s{k}.live"), F.col(f"s{k}.value")).otherwise(F.lit(0).cast("bigint")).alias(f"value{k}"))])
+        found = laid.mapInArrow(_compared(numbers, bucket), f"id {slim.schema['id'].dataType.simpleString()}, snapshot int, change string")
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -26,12 +26,11 @@ def expected(rows):
     numbers = {k for _, k, *_ in rows if k is not None}
     live = {k: {i: (v[2], v[3]) for (i, n), v in state.items() if n == k and v[1]} for k in numbers}
     out = set()
-    for k in numbers:
-        if k - 1 in numbers:
-            for i in live[k] | live[k - 1]:
-                a, b = live[k - 1].get(i), live[k].get(i)
-                if a != b:
-                    out.add((i, k, "added" if a is None else "removed" if b is None else "changed"))
+    for before, k in zip(sorted(numbers), sorted(numbers)[1:]):
+        for i in live[k] | live[before]:
+            a, b = live[before].get(i), live[k].get(i)
+            if a != b:
+                out.add((i, k, "added" if a is None else "removed" if b is None else "changed"))
     return out
 
 
@@ -43,7 +42,7 @@ def test_changes_match_brute_force(spark):
 
 def test_repeated_late_null_and_missing_numbers(spark):
     rows = [("a", 1, 5, "h", None), ("a", 1, 5, "h", None), ("a", 1, 9, "H ", None), ("a", 2, None, "x", None), ("a", 2, 1, "h", None), (None, 1, 1, "h", None), ("b", None, 1, "h", None), ("c", 1, 1, None, None), ("c", 2, 1, None, None), ("d", 4, 1, "q", None), ("d", 2, 1, "", None), ("d", 1, 1, None, None)]
-    assert changes(spark, rows) == {("d", 2, "changed")}
+    assert changes(spark, rows) == {("d", 2, "changed"), ("d", 4, "changed"), ("a", 4, "removed"), ("c", 4, "removed")}
 
 
 def test_empty_and_single_snapshot(spark):
@@ -51,12 +50,28 @@ def test_empty_and_single_snapshot(spark):
     assert changes(spark, [("a", 3, 1, "h", None)]) == set()
 
 
-def test_failed_buckets_are_enlarged(spark):
-    rows = [(k, i, i * 7 + (k if i % 2 else 0)) for k in (1, 2) for i in range(3000)]
-    df = spark.createDataFrame(rows, "snapshot int, key bigint, value bigint")
-    out = sn.differing(df, [(1, 2)], bucket=100, cells_per_record=0.05)
-    got = {(r["key"], r["value"], r["sign"]) for r in out.collect()}
-    assert got == {(i, i * 7 + k, 1 if k == 2 else -1) for k in (1, 2) for i in range(1, 3000, 2)}
+def test_small_tables_are_enlarged():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    n = len(keys)
+    live = [rng.random(n) < 0.8 for _ in range(3)]
+    value = [rng.integers(0, 3, n).astype(np.uint64) for _ in range(3)]
+    for cells in (0.01, 0.5, 3.0):
+        for k, (place, kind) in enumerate(sn.bucket_changes(keys, list(zip(live, value)), cells), 1):
+            a, b, same = live[k - 1], live[k], value[k - 1] == value[k]
+            want = np.select([a & b & ~same, b & ~a, a & ~b], [2, 0, 1], -1)
+            assert (place == np.flatnonzero(want >= 0)).all() and (kind == want[want >= 0]).all()
+
+
+def test_keys_of_one_hash_and_many_snapshots(spark, monkeypatch):
+    keys = np.array([5, 5, 7], np.uint64)
+    batch = __import__("pyarrow").RecordBatch.from_pydict({"id": ["a", "b", "c"], "key": keys.view(np.int64), "live0": [True, True, True], "value0": [1, 1, 1], "live1": [True, False, True], "value1": [2, 0, 1]})
+    out = [r for b in sn._compared([3, 9], 10)(iter([batch])) for r in b.to_pylist()]
+    assert sorted((r["id"], r["snapshot"], r["change"]) for r in out) == [("a", 9, "changed"), ("b", 9, "removed")]
+    r = random.Random(8)
+    rows = [(f"j{i}", k, 1, r.choice("ab"), None) for i in range(40) for k in (1, 2, 4, 7, 8, 9) if r.random() < 0.8]
+    monkeypatch.setattr(sn, "PASS", 3)
+    assert changes(spark, rows) == expected(rows)
 
 
 def test_hashes_equal_sparks(spark):
