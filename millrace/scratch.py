@@ -43,9 +43,14 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, where: str) -> None:
+    """Delete a table that nothing will read again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop(spark: SparkSession) -> None:
     """Delete all scratch tables of this application; frames that still read them become unusable."""
     root = _ROOTS.pop(spark.sparkContext.applicationId, None)
     if root is not None:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, root)
