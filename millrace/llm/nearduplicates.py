@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.arrow import groups, spread
-from millrace.bloom import Bloom
+from millrace.bloom import narrowed
 from millrace.scratch import cut
 from millrace.text import body_of
 
@@ -375,14 +375,10 @@ def _estimated(threshold: float, deviations: float, m: int) -> Callable:
     return run
 
 
-def _grams_of(text_of: Callable[[str | None], str], n: int, wanted) -> Callable:
+def _grams_of(text_of: Callable[[str | None], str], n: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_pylist()
-            hit = np.flatnonzero(wanted.holds(ids)).tolist()
-            raw = batch.column("raw")
-            own = [ids[k] for k in hit]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([ngrams(text_of(raw[k].as_py()), n).tobytes() for k in hit], pa.binary())], names=["id", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([ngrams(text_of(raw.as_py()), n).tobytes() for raw in batch.column("raw")], pa.binary())], names=["id", "grams"])
 
     return run
 
@@ -433,9 +429,8 @@ class Similar:
         likely = cut(both.mapInArrow(_estimated(threshold, deviations, estimate), "a bigint, b bigint"), "likely")
         ends = likely.select(F.explode(F.array("a", "b")).alias("no")).distinct()
         named = cut(self.classes.join(ends, "no").select("id", "no"), "ends")
-        wanted = Bloom.of(named, "id")
-        # only records of likely pairs are read again; the filter has a fixed size, the join makes it exact
-        grams = cut(records.mapInArrow(_grams_of(text_of, n, wanted), "id string, grams binary").join(named, "id").dropDuplicates(["id"]).select("no", "grams"), "grams")
+        # only records of likely pairs are read again; the join makes a filter exact
+        grams = cut(narrowed(records, "id", named).mapInArrow(_grams_of(text_of, n), "id string, grams binary").join(named, "id").dropDuplicates(["id"]).select("no", "grams"), "grams")
         full = likely.join(grams.select(F.col("no").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("no").alias("b"), F.col("grams").alias("gb")), "b")
         self.links = cut(full.mapInArrow(_verified(threshold), "a bigint, b bigint"), "links")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,11 +100,20 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_sizes(spark, folder), table(spark, folder, "mix_targets")).shares()
 
 
+#: Batches in which the documents come to the index.
+BATCHES = 2
+
+
 def _spans(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("doc"), "text")
+    arrival = F.pmod(F.xxhash64("doc"), F.lit(BATCHES))
     index = spans.SpanIndex(spark)
-    index.add(documents)
-    return documents, index.spans(documents)
+    found: list[DataFrame] = []
+    for number in range(BATCHES):
+        index.add(documents.filter(arrival == number))
+        found.append(index.spans(documents.filter(arrival <= number), since=number).select("doc", F.col("span_start").alias("a"), F.col("span_end").alias("b")))
+        index.tidy()
+    return documents, spans.merged(reduce(DataFrame.unionByName, found))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,36 +1,48 @@
 """Long exact spans shared between texts.
 
-Method: a log-structured index of window hashes.  Every batch of texts becomes an immutable run of
-anchors (``winnow``), sorted by hash; the runs are merged by hash with each other to find anchors
-that stand in more than one text, and ``compact`` joins runs into one.  Equal windows have equal
-anchors at equal places, so only windows around shared anchors are looked at, and each of them is
-confirmed by a second, independent hash of its whole content:
-
-* occurrences of an anchor with the same surroundings (all windows around it, up to the text's ends)
-  form a class; a class in two texts is shared as a whole, whatever its number of texts;
-* classes that differ are compared window by window, only where a long part in the middle of those
+Method: a log-structured index of window hashes.  Every batch of texts leaves an immutable run: the hashes of its
+anchors (``winnow``), dealt to buckets by hash and sorted within them.  All runs have the same buckets, so a new batch
+is merge-joined with the runs of history bucket by bucket, without moving them, to find the anchors that stand in more than
+one text.  Runs of like size are merged into one (``tidy``), which moves nothing either, and the old ones deleted.
+
+Equal windows have equal anchors at equal places, so only windows around shared anchors are looked at:
+
+* occurrences of an anchor with the same surroundings (all windows around it, up to the text's ends) form a
+  class, named by a 128-bit digest of that stretch of the text itself, which the window hashes take no part in; a class in
+  two texts is shared as a whole, whatever its number of texts;
+* classes that differ are compared window by window, text against text, only where a long part in the middle of those
   windows agrees; groups of classes of any size are handled, large ones by a distributed aggregation.
+
+A run holds one row for each class of a stretch of the batch, not one for each occurrence: a passage that stands in a third of
+all texts, or a long row of one character, is combined before it is dealt to its bucket.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.arrow import signed, slices, spread
-from millrace.bloom import Bloom
+from millrace.bloom import narrowed
 from millrace.llm import winnow
-from millrace.scratch import cut, place
+from millrace.scratch import cut, place, remove
 
 SPAN, GRAM, PARTS = 200, 50, 3
 #: Classes compared in one task; larger groups go through a distributed aggregation.
 GROUP = 20_000
+#: Runs of like size (a power of this number) that are merged into one.
+FANOUT = 2
 
-RUN = "h bigint, doc bigint, pos int, around bigint, reach int, part0 smallint, part1 smallint, part2 smallint"
+#: One row for each anchor; ``high`` only at the first of a class in a stretch of texts: the largest doc it has there.
+ANCHORS = "h bigint, doc bigint, pos int, reach int, c1 bigint, c2 bigint, part0 smallint, part1 smallint, part2 smallint, high bigint"
+_KINDS = dict(zip(("h", "doc", "pos", "reach", "c1", "c2", "part0", "part1", "part2"), (np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int16, np.int16, np.int16)))
 
 
 def _ranges(span: int, gram: int) -> list[tuple[int, int]]:
@@ -39,11 +51,19 @@ def _ranges(span: int, gram: int) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(edges[:-1], edges[1:])]
 
 
+def _digests(text: str, low: np.ndarray, high: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """128 bits of each stretch [low, high) of the text and of the anchor's place in it, as two columns."""
+    of = xxhash.xxh3_128_digest
+    raw = b"".join(of(text[a:b].encode("utf-8", "surrogatepass"), n) for a, b, n in zip(low.tolist(), high.tolist(), left.tolist()))
+    return np.frombuffer(raw, "<i8").reshape(-1, 2)
+
+
 def _run_of(span: int, gram: int) -> Callable:
     side, ranges = span - gram, _ranges(span, gram)
 
-    def piece(points: np.ndarray, start: np.ndarray, end: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, ...]:
+    def piece(text: str, start: np.ndarray, end: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, ...]:
         """Anchors of texts laid end to end; start, end and which are given for each code point."""
+        points = winnow.codes(text)
         hashed = winnow.Hashed(points)
         h = hashed.every(gram)
         w = side + 1
@@ -51,14 +71,14 @@ def _run_of(span: int, gram: int) -> Callable:
         at = winnow.anchors(h, valid[: len(h) - w + 1], w)
         s, e = start[at], end[at]
         low, high = np.maximum(s, at - side), np.minimum(e, at + span)
-        around = winnow.mix(hashed.of(low, high) + (at - low).astype(np.uint64) * np.uint64(winnow.BASE))
+        digest = _digests(text, low, high, at - low)
         parts = []
         for first, last in ranges:
             a, b = at - first, at + span - last
             inside = (a >= s) & (b <= e)
             p = (hashed.of(np.where(inside, a, 0), np.where(inside, b, 0)) >> np.uint64(49)).astype(np.int16)
             parts.append(np.where(inside, p, np.int16(-1)))
-        return which[at], h[at], at - s, around, ((at - low) << 16 | (high - at)).astype(np.int32), *parts
+        return signed(h[at]), which[at], at - s, (at - low) << 16 | (high - at), digest[:, 0], digest[:, 1], *parts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", winnow.PIECE):
@@ -69,47 +89,56 @@ def _run_of(span: int, gram: int) -> Callable:
             if rest:
                 sizes = np.array([len(texts[k]) for k in rest])
                 ends = np.cumsum(sizes)
-                if ends[-1] >= span:
-                    found.append((piece(winnow.codes("".join(texts[k] for k in rest)), np.repeat(ends - sizes, sizes), np.repeat(ends, sizes), np.repeat(docs[rest], sizes)), 0))
+                found.append(piece("".join(texts[k] for k in rest), np.repeat(ends - sizes, sizes), np.repeat(ends, sizes), np.repeat(docs[rest], sizes)))
             for k in long:  # one text in overlapping stretches: each owns the anchors of the windows that start in it
                 n, step = len(texts[k]), 2 * winnow.PIECE
                 for a in range(0, n - span + 1, step):
                     b0, b1 = max(0, a - side), min(n, a + step + 2 * span)
-                    points = winnow.codes(texts[k][b0:b1])
-                    m = len(points)
-                    got = piece(points, np.full(m, 0), np.full(m, m), np.full(m, docs[k]))
+                    m = b1 - b0
+                    got = piece(texts[k][b0:b1], np.full(m, 0), np.full(m, m), np.full(m, docs[k]))
                     # anchors near a cut may have a cut surrounding; the neighbouring stretch has them whole
                     here = got[2] + b0
                     whole = ((here - side >= b0) | (b0 == 0)) & ((here + span <= b1) | (b1 == n))
-                    found.append((tuple(x[whole] for x in got), b0))
-            for (which, h, at, around, reach, *parts), base in found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h)), pa.array(which), pa.array((at + base).astype(np.int32)), pa.array(signed(around)), pa.array(reach), *[pa.array(p) for p in parts]],
-                    names=["h", "doc", "pos", "around", "reach", *[f"part{i}" for i in range(PARTS)]],
-                )
+                    got = (*got[:2], here, *got[3:])
+                    found.append(tuple(x[whole] for x in got))
+            if not found:
+                continue
+            columns = {name: np.concatenate(x).astype(_KINDS[name]) for name, x in zip(_KINDS, zip(*found))}
+            order = np.lexsort((columns["doc"], columns["c2"], columns["c1"]))
+            c1, c2, doc = (columns[c][order] for c in ("c1", "c2", "doc"))
+            edge = np.flatnonzero(np.concatenate([[True], (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])])) if len(order) else order
+            last = np.concatenate([edge[1:], [len(order)]]) - 1 if len(order) else order
+            high, none = np.zeros(len(order), np.int64), np.ones(len(order), bool)
+            high[order[edge]], none[order[edge]] = doc[last], False
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), pa.array(high, pa.int64(), mask=none)], names=[*columns, "high"])
 
     return run
 
 
 def _slices_of() -> Callable:
-    """The surroundings of the requested places of each text."""
+    """The surroundings of the wanted places of each text, once for each group that compares them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, around, several, docs, texts = [], [], [], [], []
+            rows, docs, texts = [], [], []
             for doc, text, wanted in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 for r in wanted:
                     left, right = r["reach"] >> 16, r["reach"] & 0xFFFF
-                    h.append(r["h"])
-                    around.append(r["around"])
-                    several.append(r["several"])
-                    docs.append(doc)
-                    texts.append(text[r["pos"] - left : r["pos"] + right])
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(around, pa.int64()), pa.array(several, pa.bool_()), pa.array(docs, pa.int64()), pa.array(texts, pa.string())], names=["h", "around", "several", "doc", "slice"])
+                    own = text[r["pos"] - left : r["pos"] + right]
+                    for g in r["groups"]:
+                        rows.append((r["h"], r["c1"], r["c2"], r["reach"], r["several"], g["part"], g["value"], g["n"]))
+                        docs.append(doc)
+                        texts.append(own)
+            columns = list(zip(*rows)) if rows else [[]] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(docs, pa.int64()), pa.array(texts, pa.string())], names=["h", "c1", "c2", "reach", "several", "part", "value", "n", "doc", "slice"])
 
     return run
 
 
+SLICES = "h bigint, c1 bigint, c2 bigint, reach int, several boolean, part int, value int, n bigint, doc bigint, slice string"
+
+
 def _windows(batch: pa.RecordBatch | pa.Table, span: int, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, offset of the anchor, hash) of all windows of the rows' slices whose offset lies in the row's range."""
     texts = batch.column("slice").to_pylist()
@@ -140,6 +169,23 @@ def _shared_offsets(row: np.ndarray, offset: np.ndarray, ok: np.ndarray) -> tupl
     return r[start], o[start], o[stop]
 
 
+def _same_text(texts: list[str], left: np.ndarray, row: np.ndarray, offset: np.ndarray, span: int, key: np.ndarray, order: np.ndarray, edge: np.ndarray, ok: np.ndarray) -> None:
+    """Leaves ok only where a window's text is that of the window before or after it among those of one hash."""
+    run = np.zeros(len(order), np.int64)
+    run[edge] = 1
+    run = np.cumsum(run)
+    marked = np.flatnonzero(ok[order])
+    rows, starts = row[order[marked]].tolist(), (left[row[order[marked]]] - offset[order[marked]]).tolist()
+    own = [texts[r][a : a + span] for r, a in zip(rows, starts)]
+    group = run[marked].tolist()
+    first = {}
+    for k, (g, w) in enumerate(zip(group, own)):
+        first.setdefault((g, w), []).append(k)
+    for members in first.values():
+        if len(members) == 1:
+            ok[order[marked[members[0]]]] = False
+
+
 def _compared(span: int, gram: int) -> Callable:
     """Windows that classes of one group share, for groups that fit in a task; rows sorted by group."""
     ranges = _ranges(span, gram)
@@ -158,10 +204,11 @@ def _compared(span: int, gram: int) -> Callable:
             d, s = doc[row[order]], several[row[order]]
             many = (np.minimum.reduceat(d, edge) < np.maximum.reduceat(d, edge)) | (np.maximum.reduceat(s.astype(np.int8), edge) > 0)
             ok[order] = np.repeat(many, np.diff(np.concatenate([edge, [len(key)]])))
+            _same_text(t.column("slice").to_pylist(), t.column("reach").to_numpy() >> 16, row, offset, span, key, order, edge, ok)
         ok &= ~several[row]
         r, low, high = _shared_offsets(row, offset, ok)
         take = pa.array(r)
-        return pa.RecordBatch.from_arrays([t.column("h").combine_chunks().take(take), t.column("around").combine_chunks().take(take), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=["h", "around", "low", "high"])
+        return pa.RecordBatch.from_arrays([t.column("c1").combine_chunks().take(take), t.column("c2").combine_chunks().take(take), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=["c1", "c2", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -200,15 +247,20 @@ def _cuts(keys: np.ndarray, most: int = 8000) -> Iterator[tuple[int, int]]:
 
 
 def _exploded(span: int, gram: int) -> Callable:
+    """Every window of the rows with a digest of its text."""
     ranges = _ranges(span, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 4000):
                 part = batch.slice(a, 4000)
-                row, offset, h = _windows(part, span, ranges)
+                row, offset, _ = _windows(part, span, ranges)
+                texts, left = part.column("slice").to_pylist(), part.column("reach").to_numpy() >> 16
+                of = xxhash.xxh3_128_digest
+                raw = b"".join(of(texts[r][n : n + span].encode("utf-8", "surrogatepass")) for r, n in zip(row.tolist(), (left[row] - offset).tolist()))
+                window = np.frombuffer(raw, "<i8").reshape(-1, 2)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("h").take(take), part.column("around").take(take), part.column("several").take(take), part.column("doc").take(take), pa.array(offset.astype(np.int32)), pa.array(signed(h))], names=["h", "around", "several", "doc", "offset", "window"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in ("h", "c1", "c2", "several", "doc")), pa.array(offset.astype(np.int32)), pa.array(window[:, 0]), pa.array(window[:, 1])], names=["h", "c1", "c2", "several", "doc", "offset", "w1", "w2"])
 
     return run
 
@@ -217,87 +269,99 @@ class SpanIndex:
     """An index of texts for spans of at least ``span`` code points that stand in several of them.
 
     Texts are rows (doc bigint, text string); null texts, and texts shorter than ``span``, share
-    nothing.  doc identifies a text: repeated rows of one doc are one text.
+    nothing.  doc identifies a text: repeated rows of one doc are one text.  buckets: the number that every run is
+    dealt to; without it as many as the session has shuffle partitions.
     """
 
-    def __init__(self, spark: SparkSession, span: int = SPAN, gram: int = GRAM) -> None:
+    def __init__(self, spark: SparkSession, span: int = SPAN, gram: int = GRAM, buckets: int | None = None) -> None:
         if not 0 < gram < span or span - gram >= 1 << 15:
             raise ValueError("gram must be shorter than span, by less than 32768")
         self.spark, self.span, self.gram = spark, span, gram
-        self.runs: list[str] = []
+        self.buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        self.runs: list[tuple[str, int, int]] = []  # table, first batch, number of rows
+        self.anchors: list[DataFrame] = []  # of every batch, as they were found
 
     def add(self, texts: DataFrame) -> int:
-        """Write the anchors of a batch as a sorted run; returns the run's number."""
-        path = place(self.spark, "run")
+        """Write the anchors of a batch and their hashes as a run; returns the batch's number."""
         own = spread(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()))
-        own.mapInArrow(_run_of(self.span, self.gram), RUN).sortWithinPartitions("h").write.option("compression", "zstd").parquet(path)
-        self.runs.append(path)
-        return len(self.runs) - 1
+        anchors = cut(own.mapInArrow(_run_of(self.span, self.gram), ANCHORS), "anchors")
+        self.anchors.append(anchors)
+        self._write(anchors.filter("high is not null").repartition(self.buckets, "h"), len(self.anchors) - 1)
+        return len(self.anchors) - 1
+
+    def _write(self, rows: DataFrame, batch: int) -> None:
+        name = f"millrace_run_{uuid.uuid4().hex}"
+        rows.sortWithinPartitions("h", "c1", "c2").write.option("path", place(self.spark, "run")).option("compression", "zstd").bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
+        self.runs.append((name, batch, self.spark.table(name).count()))
+
+    def tidy(self, fanout: int = FANOUT) -> None:
+        """Merge the newest runs while ``fanout`` of them are of like size: bucket by bucket, then delete them."""
+        size = lambda rows: max(rows, 1).bit_length() // max(fanout.bit_length() - 1, 1)
+        while len(self.runs) >= fanout and all(size(r[2]) >= size(self.runs[-fanout][2]) for r in self.runs[-fanout:]):
+            self._merge(fanout)
 
     def compact(self) -> None:
-        """Merge all runs into one; earlier runs stay on disk until the scratch folder goes."""
-        path = place(self.spark, "run")
-        self._read(self.runs).repartition("h", F.pmod("doc", F.lit(16))).sortWithinPartitions("h", "doc").write.option("compression", "zstd").parquet(path)
-        self.runs = [path]
-
-    def _read(self, runs: list[str]) -> DataFrame:
-        return self.spark.read.schema(RUN).parquet(*runs)
+        """Merge all runs into one."""
+        if len(self.runs) > 1:
+            self._merge(len(self.runs))
+
+    def _merge(self, many: int) -> None:
+        old, self.runs = self.runs[-many:], self.runs[:-many]
+        least = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
+        rows = reduce(DataFrame.unionByName, [self.spark.table(name) for name, *_ in old])
+        merged_rows = rows.groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high")).select("h", "first.doc", "first.pos", "first.reach", "c1", "c2", *[f"first.part{i}" for i in range(PARTS)], "high")
+        self._write(merged_rows, old[0][1])
+        for name, *_ in old:
+            path = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+            self.spark.sql(f"DROP TABLE {name}")
+            remove(self.spark, path)
+
+    def _classes(self, since: int) -> DataFrame:
+        """Classes of the anchors that stand in several texts, one of them of batch ``since`` or later; nothing moves between buckets."""
+        parts = []
+        for name, batch, _ in self.runs:
+            parts.append(self.spark.table(name).withColumn("fresh", F.lit(batch >= since)))
+        rows = reduce(DataFrame.unionByName, parts)
+        shared = rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("high").alias("top"), F.max("fresh").alias("fresh")).filter("low < top and fresh").select("h")
+        least = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
+        own = rows.join(shared.hint("merge"), "h", "left_semi").groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high"))
+        return own.select("h", "c1", "c2", "first.*", (F.col("first.doc") < F.col("high")).alias("several"))
 
     def spans(self, texts: DataFrame, since: int = 0) -> DataFrame:
         """Shared stretches (doc, span_start, span_end) of the indexed texts.
 
-        texts: all indexed texts, to confirm with.  since: only what is shared through a text of that run
-        or a later one; together with what was found before, merged, that is all that is shared.
+        texts: all indexed texts, to confirm with; those of shared places are read.  since: only what is shared through
+        a text of that batch or a later one, which must be in runs of their own; together with what was found before, merged, that is all that is shared.
         """
-        everything = self._read(self.runs)
-        if since:
-            fresh = self._read(self.runs[since:]).select("h").distinct()
-            everything = everything.join(fresh, "h", "left_semi")
-        shared = cut(everything.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("h"), "shared")
-        bloom = Bloom.of(shared.select(F.col("h").cast("string").alias("h")), "h")
-        near = everything.mapInArrow(_maybe(bloom), RUN)
-        found = cut(near.join(shared, "h"), "occurrences")
-        classes = cut(
-            found.groupBy("h", "around")
-            .agg(F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first"), F.max("doc").alias("high"))
-            .select("h", "around", "first.*", (F.col("first.doc") < F.col("high")).alias("several")),
-            "classes",
-        )
+        if not self.runs:
+            return self.spark.createDataFrame([], "doc bigint, span_start int, span_end int")
+        if any(batch < since <= end for (_, batch, _), end in zip(self.runs, [r[1] - 1 for r in self.runs[1:]] + [len(self.anchors) - 1])):
+            raise ValueError(f"batch {since} is merged with earlier ones")
+        classes = cut(self._classes(since), "classes")
         left, right = F.shiftright("reach", 16), F.col("reach").bitwiseAND(0xFFFF)
-        whole = found.join(classes.filter("several").select("h", "around"), ["h", "around"]).filter(left + right >= self.span)
-        plain = whole.select("doc", (F.col("pos") - left).alias("a"), (F.col("pos") + right).alias("b"))
+        whole = classes.filter("several").filter(left + right >= self.span).select("c1", "c2", (-left).alias("a"), right.alias("b"))
         parts = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("part"), F.col(f"part{i}").cast("int").alias("value")) for i in range(PARTS)]), lambda x: x["value"] >= 0)).alias("p")
-        members = classes.select("h", "around", "doc", "pos", "reach", "several", parts).select("h", "around", "doc", "pos", "reach", "several", "p.part", "p.value")
+        members = classes.select("h", "c1", "c2", "doc", "pos", "reach", "several", parts).select("h", "c1", "c2", "doc", "pos", "reach", "several", "p.part", "p.value")
         sizes = members.groupBy("h", "part", "value").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("several").alias("some"), F.min("several").alias("every")).filter("n > 1 and (low < high or some) and not every")
-        alike = cut(members.join(sizes.select("h", "part", "value", "n"), ["h", "part", "value"]), "alike")
-        wanted = alike.select("h", "around", "doc", "pos", "reach", "several").distinct().groupBy("doc").agg(F.collect_list(F.struct("h", "around", "pos", "reach", "several")).alias("wanted"))
-        owners = Bloom.of(wanted.select(F.col("doc").cast("string").alias("doc")), "doc")
-        read = texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()).mapInArrow(_maybe(owners, "doc"), "doc bigint, text string")
-        around = read.join(wanted, "doc").mapInArrow(_slices_of(), "h bigint, around bigint, several boolean, doc bigint, slice string").dropDuplicates(["h", "around"])
-        rows = alike.select("h", "around", "part", "value", "n", "reach").join(around, ["h", "around"])
-        if alike.filter(F.col("n") > GROUP).isEmpty():
-            few = rows
-            ranges = None
-        else:
-            rows = cut(rows, "rows")
-            few, ranges = rows.filter(F.col("n") <= GROUP), rows.filter(F.col("n") > GROUP)
-        schema = "h bigint, around bigint, low int, high int"
+        alike = members.join(sizes.select("h", "part", "value", "n"), ["h", "part", "value"])
+        # a class's text is read once, from its first text; a text's wanted places are as many as it has anchors at most
+        grouped = alike.groupBy("doc", "pos", "h", "c1", "c2", "reach", "several").agg(F.collect_list(F.struct("part", "value", "n")).alias("groups"))
+        wanted = cut(grouped.groupBy("doc").agg(F.collect_list(F.struct("h", "c1", "c2", "pos", "reach", "several", "groups")).alias("wanted"), F.max(F.array_max("groups.n")).alias("most")), "wanted")
+        read = narrowed(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()), "doc", wanted)
+        rows = read.join(wanted.select("doc", "wanted"), "doc").mapInArrow(_slices_of(), SLICES)
+        large = not wanted.filter(F.col("most") > GROUP).isEmpty()
+        if large:
+            rows = cut(rows, "slices").dropDuplicates(["c1", "c2", "part", "value"])
+        few = rows.filter(F.col("n") <= GROUP) if large else rows
+        schema = "c1 bigint, c2 bigint, low int, high int"
         common = few.repartition("h", "part", "value").sortWithinPartitions("h", "part", "value").mapInArrow(_compared(self.span, self.gram), schema)
-        if ranges is not None:
-            windows = ranges.mapInArrow(_exploded(self.span, self.gram), "h bigint, around bigint, several boolean, doc bigint, offset int, window bigint")
-            repeated = windows.groupBy("h", "window").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max("several").alias("s")).filter("a < b or s").select("h", "window")
-            common = common.unionByName(windows.filter("not several").join(repeated, ["h", "window"]).select("h", "around", F.col("offset").alias("low"), F.col("offset").alias("high")))
-        partly = found.select("h", "around", "doc", "pos").join(common, ["h", "around"]).select("doc", (F.col("pos") - F.col("high")).alias("a"), (F.col("pos") - F.col("low") + self.span).alias("b"))
-        return merged(plain.unionByName(partly).distinct())
-
-
-def _maybe(bloom: Bloom, column: str = "h") -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(bloom.holds([str(x) for x in batch.column(column).to_pylist()])))
-
-    return run
+        if large:
+            windows = rows.filter(F.col("n") > GROUP).mapInArrow(_exploded(self.span, self.gram), "h bigint, c1 bigint, c2 bigint, several boolean, doc bigint, offset int, w1 bigint, w2 bigint")
+            repeated = windows.groupBy("h", "w1", "w2").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.max("several").alias("s")).filter("x < y or s").select("h", "w1", "w2")
+            common = common.unionByName(windows.filter("not several").join(repeated, ["h", "w1", "w2"], "left_semi").select("c1", "c2", F.col("offset").alias("low"), F.col("offset").alias("high")))
+        found = cut(whole.unionByName(common.select("c1", "c2", (-F.col("high")).alias("a"), (F.lit(self.span) - F.col("low")).alias("b"))), "found")
+        places = reduce(DataFrame.unionByName, [a.select("c1", "c2", "doc", "pos") for a in self.anchors])
+        return merged(places.join(found, ["c1", "c2"]).select("doc", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b")))
 
 
 def merged(stretches: DataFrame) -> DataFrame:
