@@ -100,20 +100,21 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_sizes(spark, folder), table(spark, folder, "mix_targets")).shares()
 
 
-#: Batches in which the documents come to the index.
-BATCHES = 2
+#: Batches in which the documents come to the index, as shares of them: most at first, then small ones.
+BATCHES = (6, 1, 1)
 
 
 def _spans(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("doc"), "text")
-    arrival = F.pmod(F.xxhash64("doc"), F.lit(BATCHES))
+    arrival = F.pmod(F.xxhash64("doc"), F.lit(sum(BATCHES)))
     index = spans.SpanIndex(spark)
     found: list[DataFrame] = []
-    for number in range(BATCHES):
-        index.add(documents.filter(arrival == number))
-        found.append(index.spans(documents.filter(arrival <= number), since=number).select("doc", F.col("span_start").alias("a"), F.col("span_end").alias("b")))
+    for number in range(len(BATCHES)):
+        before, so_far = sum(BATCHES[:number]), sum(BATCHES[: number + 1])
+        index.add(documents.filter((arrival >= before) & (arrival < so_far)))
+        found.append(index.found(documents.filter(arrival < so_far), since=number))
         index.tidy()
-    return documents, spans.merged(reduce(DataFrame.unionByName, found))
+    return documents, index.located(reduce(DataFrame.unionByName, found).distinct())
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

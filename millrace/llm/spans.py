@@ -115,20 +115,21 @@ def _run_of(span: int, gram: int) -> Callable:
     return run
 
 
-def _slices_of() -> Callable:
-    """The surroundings of the wanted places of each text, once for each group that compares them."""
+def _slices_of(span: int, gram: int) -> Callable:
+    """The surroundings of the wanted places of each text, for each group that compares them what its windows cover."""
+    ranges = _ranges(span, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, docs, texts = [], [], []
             for doc, text, wanted in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 for r in wanted:
-                    left, right = r["reach"] >> 16, r["reach"] & 0xFFFF
-                    own = text[r["pos"] - left : r["pos"] + right]
                     for g in r["groups"]:
-                        rows.append((r["h"], r["c1"], r["c2"], r["reach"], r["several"], g["part"], g["value"], g["n"]))
+                        first, last = ranges[g["part"]]
+                        left, right = min(r["reach"] >> 16, last), min(r["reach"] & 0xFFFF, span - first)
+                        rows.append((r["h"], r["c1"], r["c2"], left << 16 | right, r["several"], g["part"], g["value"], g["n"]))
                         docs.append(doc)
-                        texts.append(own)
+                        texts.append(text[r["pos"] - left : r["pos"] + right])
             columns = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(docs, pa.int64()), pa.array(texts, pa.string())], names=["h", "c1", "c2", "reach", "several", "part", "value", "n", "doc", "slice"])
@@ -286,7 +287,8 @@ class SpanIndex:
         own = spread(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()))
         anchors = cut(own.mapInArrow(_run_of(self.span, self.gram), ANCHORS), "anchors")
         self.anchors.append(anchors)
-        self._write(anchors.filter("high is not null").repartition(self.buckets, "h"), len(self.anchors) - 1)
+        number = len(self.anchors) - 1
+        self._write(anchors.filter("high is not null").withColumn("batch", F.lit(number)).repartition(self.buckets, "h"), number)
         return len(self.anchors) - 1
 
     def _write(self, rows: DataFrame, batch: int) -> None:
@@ -308,8 +310,9 @@ class SpanIndex:
     def _merge(self, many: int) -> None:
         old, self.runs = self.runs[-many:], self.runs[:-many]
         least = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
+        # a union of tables of the same buckets keeps them, and so does the aggregation
         rows = reduce(DataFrame.unionByName, [self.spark.table(name) for name, *_ in old])
-        merged_rows = rows.groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high")).select("h", "first.doc", "first.pos", "first.reach", "c1", "c2", *[f"first.part{i}" for i in range(PARTS)], "high")
+        merged_rows = rows.groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high"), F.max("batch").alias("batch")).select("h", "first.doc", "first.pos", "first.reach", "c1", "c2", *[f"first.part{i}" for i in range(PARTS)], "high", "batch")
         self._write(merged_rows, old[0][1])
         for name, *_ in old:
             path = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
@@ -317,51 +320,69 @@ class SpanIndex:
             remove(self.spark, path)
 
     def _classes(self, since: int) -> DataFrame:
-        """Classes of the anchors that stand in several texts, one of them of batch ``since`` or later; nothing moves between buckets."""
-        parts = []
-        for name, batch, _ in self.runs:
-            parts.append(self.spark.table(name).withColumn("fresh", F.lit(batch >= since)))
-        rows = reduce(DataFrame.unionByName, parts)
-        shared = rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("high").alias("top"), F.max("fresh").alias("fresh")).filter("low < top and fresh").select("h")
-        least = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
-        own = rows.join(shared.hint("merge"), "h", "left_semi").groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high"))
-        return own.select("h", "c1", "c2", "first.*", (F.col("first.doc") < F.col("high")).alias("several"))
+        """Classes of the anchors that stand in several texts, one of them of batch ``since`` or later.
 
-    def spans(self, texts: DataFrame, since: int = 0) -> DataFrame:
-        """Shared stretches (doc, span_start, span_end) of the indexed texts.
+        The new run is merge-joined with every earlier one bucket by bucket; of the runs' rows only those of shared anchors move.
+        """
+        new = [self.spark.table(name) for name, first, _ in self.runs if first >= since]
+        old = [self.spark.table(name) for name, first, _ in self.runs if first < since]
+        bounds = lambda rows: rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("high").alias("top"))
+        least, most = bounds(reduce(DataFrame.unionByName, new)), F.col("top")
+        low = F.col("low")
+        for k, rows in enumerate(old):
+            least = least.join(bounds(rows).toDF("h", f"low{k}", f"top{k}").hint("merge"), "h", "left")
+            low, most = F.least(low, f"low{k}"), F.greatest(most, f"top{k}")
+        shared = cut(least.filter(low < most).select("h"), "shared")
+        first = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
+        own = reduce(DataFrame.unionByName, [rows.join(shared, "h", "left_semi") for rows in [*new, *old]])
+        own = own.groupBy("h", "c1", "c2").agg(first, F.max("high").alias("high"), F.max("batch").alias("last"))
+        return own.select("h", "c1", "c2", "first.*", (F.col("first.doc") < F.col("high")).alias("several"), (F.col("last") >= since).alias("fresh"))
+
+    def found(self, texts: DataFrame, since: int = 0) -> DataFrame:
+        """What is shared of each class: rows (c1, c2, a, b), a stretch from a to b around its anchors.
 
         texts: all indexed texts, to confirm with; those of shared places are read.  since: only what is shared through
-        a text of that batch or a later one, which must be in runs of their own; together with what was found before, merged, that is all that is shared.
+        a text of that batch or a later one, which must be in runs of their own; together with what was found before, that is all that is shared.
         """
         if not self.runs:
-            return self.spark.createDataFrame([], "doc bigint, span_start int, span_end int")
-        if any(batch < since <= end for (_, batch, _), end in zip(self.runs, [r[1] - 1 for r in self.runs[1:]] + [len(self.anchors) - 1])):
+            return self.spark.createDataFrame([], "c1 bigint, c2 bigint, a int, b int")
+        ends = [first - 1 for _, first, _ in self.runs[1:]] + [len(self.anchors) - 1]
+        if any(first < since <= end for (_, first, _), end in zip(self.runs, ends)):
             raise ValueError(f"batch {since} is merged with earlier ones")
         classes = cut(self._classes(since), "classes")
         left, right = F.shiftright("reach", 16), F.col("reach").bitwiseAND(0xFFFF)
-        whole = classes.filter("several").filter(left + right >= self.span).select("c1", "c2", (-left).alias("a"), right.alias("b"))
+        whole = classes.filter("several and fresh").filter(left + right >= self.span).select("c1", "c2", (-left).alias("a"), right.alias("b"))
         parts = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("part"), F.col(f"part{i}").cast("int").alias("value")) for i in range(PARTS)]), lambda x: x["value"] >= 0)).alias("p")
-        members = classes.select("h", "c1", "c2", "doc", "pos", "reach", "several", parts).select("h", "c1", "c2", "doc", "pos", "reach", "several", "p.part", "p.value")
-        sizes = members.groupBy("h", "part", "value").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("several").alias("some"), F.min("several").alias("every")).filter("n > 1 and (low < high or some) and not every")
-        alike = members.join(sizes.select("h", "part", "value", "n"), ["h", "part", "value"])
+        members = classes.select("h", "c1", "c2", "doc", "pos", "reach", "several", "fresh", parts).select("h", "c1", "c2", "doc", "pos", "reach", "several", "fresh", "p.part", "p.value")
+        sizes = members.groupBy("h", "part", "value").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("several").alias("some"), F.min("several").alias("every"), F.max("fresh").alias("fresh"))
+        alike = members.drop("fresh").join(sizes.filter("n > 1 and (low < high or some) and not every and fresh").select("h", "part", "value", "n"), ["h", "part", "value"])
         # a class's text is read once, from its first text; a text's wanted places are as many as it has anchors at most
         grouped = alike.groupBy("doc", "pos", "h", "c1", "c2", "reach", "several").agg(F.collect_list(F.struct("part", "value", "n")).alias("groups"))
         wanted = cut(grouped.groupBy("doc").agg(F.collect_list(F.struct("h", "c1", "c2", "pos", "reach", "several", "groups")).alias("wanted"), F.max(F.array_max("groups.n")).alias("most")), "wanted")
         read = narrowed(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()), "doc", wanted)
-        rows = read.join(wanted.select("doc", "wanted"), "doc").mapInArrow(_slices_of(), SLICES)
+        rows = read.join(wanted.select("doc", "wanted"), "doc").mapInArrow(_slices_of(self.span, self.gram), SLICES)
         large = not wanted.filter(F.col("most") > GROUP).isEmpty()
         if large:
             rows = cut(rows, "slices").dropDuplicates(["c1", "c2", "part", "value"])
         few = rows.filter(F.col("n") <= GROUP) if large else rows
-        schema = "c1 bigint, c2 bigint, low int, high int"
-        common = few.repartition("h", "part", "value").sortWithinPartitions("h", "part", "value").mapInArrow(_compared(self.span, self.gram), schema)
+        common = few.repartition("h", "part", "value").sortWithinPartitions("h", "part", "value").mapInArrow(_compared(self.span, self.gram), "c1 bigint, c2 bigint, low int, high int")
         if large:
             windows = rows.filter(F.col("n") > GROUP).mapInArrow(_exploded(self.span, self.gram), "h bigint, c1 bigint, c2 bigint, several boolean, doc bigint, offset int, w1 bigint, w2 bigint")
             repeated = windows.groupBy("h", "w1", "w2").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.max("several").alias("s")).filter("x < y or s").select("h", "w1", "w2")
             common = common.unionByName(windows.filter("not several").join(repeated, ["h", "w1", "w2"], "left_semi").select("c1", "c2", F.col("offset").alias("low"), F.col("offset").alias("high")))
-        found = cut(whole.unionByName(common.select("c1", "c2", (-F.col("high")).alias("a"), (F.lit(self.span) - F.col("low")).alias("b"))), "found")
+        return cut(whole.unionByName(common.select("c1", "c2", (-F.col("high")).alias("a"), (F.lit(self.span) - F.col("low")).alias("b"))), "found")
+
+    def located(self, found: DataFrame) -> DataFrame:
+        """Shared stretches (doc, span_start, span_end) of all indexed texts, from what was found of their classes."""
+        if not self.anchors:
+            return self.spark.createDataFrame([], "doc bigint, span_start int, span_end int")
         places = reduce(DataFrame.unionByName, [a.select("c1", "c2", "doc", "pos") for a in self.anchors])
-        return merged(places.join(found, ["c1", "c2"]).select("doc", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b")))
+        known = cut(found.select("c1").distinct(), "known")
+        return merged(narrowed(places, "c1", known).join(found, ["c1", "c2"]).select("doc", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b")))
+
+    def spans(self, texts: DataFrame, since: int = 0) -> DataFrame:
+        """Shared stretches (doc, span_start, span_end) of the indexed texts: what ``found`` finds, where it stands."""
+        return self.located(self.found(texts, since))
 
 
 def merged(stretches: DataFrame) -> DataFrame:
