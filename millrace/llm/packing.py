@@ -10,44 +10,47 @@ look their containers up in the plan.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ways in which items of one size are split to rank them, at most.
-WAYS = 256
-#: Largest capacity for which a plan is made on the driver, and counts (of sizes by ways) that reach it at most.
-MOST_CAPACITY, MOST_COUNTS = 1 << 20, 1 << 20
+#: Items of one size that one task ranks, about: a size of more is split into as many ways as it takes.
+WAY = 50_000
 
 
 class Room:
-    """Which remaining capacities some open container has: a segment tree of or-ed flags."""
+    """Which remaining capacities some open container has: a segment tree of or-ed flags, of which only the set ones are kept."""
 
     def __init__(self, capacity: int) -> None:
         self.size = 1 << capacity.bit_length()
-        self.some = bytearray(2 * self.size)
+        self.some: set[int] = set()
 
     def mark(self, room: int, some: bool) -> None:
         k = self.size + room
-        self.some[k] = some
-        k >>= 1
-        while k:
-            self.some[k] = self.some[2 * k] or self.some[2 * k + 1]
+        if some:
+            while k and k not in self.some:
+                self.some.add(k)
+                k >>= 1
+        else:
+            self.some.discard(k)
             k >>= 1
+            while k and 2 * k not in self.some and 2 * k + 1 not in self.some:
+                self.some.discard(k)
+                k >>= 1
 
     def tightest(self, least: int) -> int | None:
         """The smallest marked capacity of at least ``least``, in logarithmic time."""
         k = self.size + least
-        if self.some[k]:
+        if k in self.some:
             return least
         while k > 1:
-            if not k & 1 and self.some[k + 1]:
+            if not k & 1 and k + 1 in self.some:
                 k += 1
                 while k < self.size:
-                    k = 2 * k if self.some[2 * k] else 2 * k + 1
+                    k = 2 * k if 2 * k in self.some else 2 * k + 1
                 return k - self.size
             k >>= 1
         return None
@@ -105,19 +108,22 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, in
     return np.array(plan, np.int64).reshape(-1, 4), opened
 
 
-def _placed(plan: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((plan[:, 1], plan[:, 0]))
-    plan = plan[order]
-    key = (plan[:, 0].astype(object) * (1 << 44) + plan[:, 1]).astype(np.int64) if len(plan) else np.zeros(0, np.int64)
+def _placed(plan: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """The container of items by size and rank. Items are numbered through all sizes in order, and the plan's rows likewise."""
+    base = np.cumsum(counts) - counts
+    number = lambda size, rank: base[np.searchsorted(sizes, size)] + rank
+    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
+    key = number(plan[:, 0], plan[:, 1])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, rank = batch.column("tokens").to_numpy(), batch.column("rank").to_numpy()
-            at = np.searchsorted(key, size * (1 << 44) + rank, "right") - 1
-            container = np.where(size > 0, plan[at, 3] + (rank - plan[at, 1]) // plan[at, 2], -1) if len(plan) else np.full(len(size), -1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("piece"), batch.column("first_token"), batch.column("tokens"), pa.array(container, pa.int64(), mask=container < 0)], names=["doc", "piece", "first_token", "tokens", "container"])
+    def containers(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        out = np.full(len(size), -1, np.int64)
+        some = size > 0
+        if some.any():
+            at = np.searchsorted(key, number(size[some], rank[some]), "right") - 1
+            out[some] = plan[at, 3] + (rank[some] - plan[at, 1]) // plan[at, 2]
+        return out
 
-    return run
+    return containers
 
 
 def packed(sizes: DataFrame, capacity: int) -> DataFrame:
@@ -128,39 +134,52 @@ def packed(sizes: DataFrame, capacity: int) -> DataFrame:
     item of 0 (or null) tokens takes no room: one row with a null container.  Repeated items are items of
     their own; no item is left out.
     """
-    if not 0 < capacity <= MOST_CAPACITY:
-        raise ValueError(f"capacity must be from 1 to {MOST_CAPACITY}")
-    ways = max(1, min(WAYS, MOST_COUNTS // (capacity + 1)))
+    if capacity < 1:
+        raise ValueError("capacity must be at least 1")
     tokens = F.greatest(F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)), F.lit(0).cast("bigint"))
     pieces = (
         sizes.select("doc", tokens.alias("whole"))
         .select("doc", "whole", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.ceil(F.col("whole") / capacity) - 1))).alias("piece"))
         .select("doc", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("whole") - F.col("piece") * capacity).alias("tokens"))
-        .withColumn("way", F.pmod(F.xxhash64("doc", "piece"), F.lit(ways)))
     )
-    counted = pieces.groupBy("tokens", "way").agg(F.count("*").alias("n"))
-    rows = counted.toArrow()  # at most MOST_COUNTS rows, or one for each size, whatever the number of items
-    size, way, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("tokens", "way", "n"))
-    table, at = np.unique(size, return_inverse=True)
-    starts = np.zeros((len(table), ways + 1), np.int64)
-    starts[at, way + 1] = n
-    counts = dict(zip(table.tolist(), starts.sum(1).tolist()))
-    starts = np.cumsum(starts, 1)
-    plan, _ = best_fit_plan(counts, capacity)
-    place = _placed(plan)
+    rows = pieces.groupBy("tokens").agg(F.count("*").alias("n")).toArrow()  # one row for each size that occurs: no more than the capacity has values
+    size, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("tokens", "n"))
+    order = np.argsort(size)
+    size, n = size[order], n[order]
+    ways = -(-n // WAY)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                own = ways[np.searchsorted(size, b.column("tokens").to_numpy())]
+                way = np.mod(b.column("deal").to_numpy(), own)
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(way.astype(np.int32))], names=[*b.schema.names[:4], "way"])
+
+    split = pieces.withColumn("deal", F.xxhash64("doc", "piece")).mapInArrow(dealt, "doc bigint, piece int, first_token bigint, tokens bigint, way int")
+    large = size[ways > 1]
+    width = int(ways.max()) if len(ways) else 1
+    starts = np.zeros((len(large), width + 1), np.int64)  # only of sizes that are split
+    if len(large):
+        many = split.filter(F.col("tokens").isin(large.tolist()) if len(large) <= 1000 else F.lit(True)).groupBy("tokens", "way").agg(F.count("*").alias("n")).toArrow()  # one row for about WAY items
+        t, w, c = (many.column(x).to_numpy().astype(np.int64) for x in ("tokens", "way", "n"))
+        known = np.isin(t, large)
+        starts[np.searchsorted(large, t[known]), w[known] + 1] = c[known]
+        starts = np.cumsum(starts, 1)
+    plan, _ = best_fit_plan(dict(zip(size.tolist(), n.tolist())), capacity)
+    container_of = _placed(plan, size, n)
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def with_offset() -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
-                    at = np.searchsorted(table, b.column("tokens").to_numpy())
-                    rank = starts[at, b.column("way").to_numpy()] + b.column("within").to_numpy() - 1
-                    yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("piece"), b.column("first_token"), b.column("tokens"), pa.array(rank)], names=["doc", "piece", "first_token", "tokens", "rank"])
-
-        yield from place(with_offset())
+        for b in batches:
+            if b.num_rows:
+                own, way, rank = b.column("tokens").to_numpy(), b.column("way").to_numpy(), b.column("within").to_numpy() - 1
+                if len(large):
+                    at = np.minimum(np.searchsorted(large, own), len(large) - 1)
+                    rank = rank + np.where(large[at] == own, starts[at, way], 0)
+                container = container_of(own, rank)
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(container, pa.int64(), mask=container < 0)], names=["doc", "piece", "first_token", "tokens", "container"])
 
     within = F.row_number().over(Window.partitionBy("tokens", "way").orderBy("doc", "piece", "first_token"))
-    return pieces.withColumn("within", within.cast("bigint")).mapInArrow(ranked, "doc bigint, piece int, first_token bigint, tokens bigint, container bigint")
+    return split.withColumn("within", within.cast("bigint")).mapInArrow(ranked, "doc bigint, piece int, first_token bigint, tokens bigint, container bigint")
 
 
 def filling(rows: DataFrame, capacity: int) -> DataFrame:

@@ -57,6 +57,17 @@ def test_hot_size_and_empty(spark):
         rows(spark, [], 0)
 
 
+def test_large_capacity_and_split_sizes(spark, monkeypatch):
+    monkeypatch.setattr(packing, "WAY", 7)
+    capacity = 1 << 22
+    items = [(i, n) for i, n in enumerate([600_000] * 40 + [capacity] * 25 + [3 * capacity + 5, 1, capacity - 1])]
+    load = Counter()
+    for x in rows(spark, items, capacity):
+        load[x["container"]] += x["tokens"]
+    pieces = [n for _, n in items[:-3]] + [capacity] * 3 + [5, 1, capacity - 1]
+    assert sorted(capacity - v for v in load.values()) == placed_one_by_one(pieces, capacity)
+
+
 def test_filling(spark):
     out = packing.filling(packing.packed(spark.createDataFrame([(1, 6, "", ""), (2, 6, "", "")], SIZES), 10), 10).first()
     assert (out["containers"], out["tokens"], out["least_containers"], out["filled"]) == (2, 12, 2, 0.6)
