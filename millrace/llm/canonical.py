@@ -9,6 +9,7 @@ reported as such.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections import defaultdict
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from millrace.text import fold
 
-#: Entries that a dictionary sent to every worker may hold; larger lists are joined.
-MOST_ENTRIES = 100_000
+#: Strings (names, and what deletions leave of them) of a dictionary that is sent to every worker, at most: about 200 bytes
+#: each there.  Larger lists are joined.
+MOST_STRINGS = 1_500_000
 #: Kinds of places, from the most specific (fixed values).
 LOCALITY, ADMIN1, COUNTRY = "locality", "admin1", "country"
 
@@ -43,8 +45,8 @@ SLIP = 1
 
 
 def allowed(length: int, most: int = SLIP) -> int:
-    """Edits by which a typed name of that many letters may differ: none below 4, else ``most``, but one below 9."""
-    return 0 if length < 4 else min(1, most) if length < 9 else most
+    """Edits by which a typed name of that many letters may differ: none below 4, else ``most``, but at most one below 9 and two below 14."""
+    return 0 if length < 4 else min(1, most) if length < 9 else min(2, most) if length < 14 else most
 
 
 def deletes(word: str, most: int) -> set[str]:
@@ -122,7 +124,7 @@ class Dictionary:
             if p.kind == ADMIN1 and p.admin1:
                 self.admin1_codes[p.admin1.upper()].append(n)
         for name in self.by_name:
-            for rest in deletes(name, allowed(len(name) + 1, self.most)):
+            for rest in deletes(name, allowed(len(name) + self.most, self.most)):
                 self.by_rest[rest].add(name)
 
     def find(self, name: str, kinds: tuple[str, ...]) -> list[tuple[float, int]]:
@@ -263,12 +265,12 @@ def place_of(r) -> Place:
 _built: dict[str, Dictionary] = {}
 
 
-def _shared(token: str, places: list[Place]) -> Dictionary:
+def _shared(token: str, places: list[Place], slip: int) -> Dictionary:
     from millrace.llm import canonical  # the worker's own module: what it keeps outlives a task
 
     if token not in canonical._built:
         canonical._built.clear()
-        canonical._built[token] = Dictionary(places)
+        canonical._built[token] = Dictionary(places, most=slip)
     return canonical._built[token]
 
 
@@ -284,7 +286,7 @@ def _resolved(batch: pa.RecordBatch, d: Dictionary, known: dict[tuple, int]) ->
     return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.int64())], names=["id", "geoname_id"])
 
 
-def lookup_keys(label: str | None, city: str | None, state: str | None, country: str | None) -> set[str]:
+def lookup_keys(label: str | None, city: str | None, state: str | None, country: str | None, slip: int = SLIP) -> set[str]:
     """Everything under which a dictionary could hold what the row names: codes, and what deletions leave of its names."""
     out: set[str] = set()
     for value in (label, city, state, country):
@@ -293,13 +295,13 @@ def lookup_keys(label: str | None, city: str | None, state: str | None, country:
             out |= {f"code {w.upper()}" for w in (piece, words[-1]) if _CODE.fullmatch(w)}
             for part in (piece, " ".join(words[:-1])):
                 for form in forms(part):
-                    out |= deletes(form, allowed(len(form)))
+                    out |= deletes(form, allowed(len(form), slip))
     return out
 
 
-def place_keys(p: Place) -> set[str]:
+def place_keys(p: Place, slip: int = SLIP) -> set[str]:
     """The keys under which a dictionary holds a place."""
-    out = {rest for n in p.names for rest in deletes(n, allowed(len(n) + 1))}
+    out = {rest for n in p.names for rest in deletes(n, allowed(len(n) + slip, slip))}
     if p.kind == COUNTRY and p.country:
         out.add(f"code {p.country}")
     if p.kind == ADMIN1 and p.admin1:
@@ -307,7 +309,7 @@ def place_keys(p: Place) -> set[str]:
     return out
 
 
-def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
+def mapped_by_join(rows: DataFrame, places: DataFrame, slip: int = SLIP) -> DataFrame:
     """The same as ``mapped`` for lists of any size: typed rows and places meet by a join on the dictionary's keys.
 
     Distinct typed values are looked up once; each is resolved in a dictionary of just the places it met.
@@ -317,7 +319,7 @@ def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
         for batch in batches:
             at, keys = [], []
             for n, t in enumerate(zip(*(batch.column(c).to_pylist() for c in ("label", "city", "state", "country_code")))):
-                own = sorted(lookup_keys(*t))
+                own = sorted(lookup_keys(*t, slip))
                 at += [n] * len(own)
                 keys += own
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in ("value", "label", "city", "state", "country_code")), pa.array(keys, pa.string())], names=["value", "label", "city", "state", "country_code", "key"])
@@ -326,7 +328,7 @@ def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
         for batch in batches:
             at, keys = [], []
             for n, r in enumerate(batch.to_pylist()):
-                own = sorted(place_keys(place_of(r)))
+                own = sorted(place_keys(place_of(r), slip))
                 at += [n] * len(own)
                 keys += own
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns), pa.array(keys, pa.string())], names=[*batch.schema.names, "key"])
@@ -335,7 +337,7 @@ def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                d = Dictionary(sorted((place_of(p) for p in r["found"]), key=lambda p: p.key))
+                d = Dictionary(sorted((place_of(p) for p in r["found"]), key=lambda p: p.key), most=slip)
                 n = resolve(d, r["label"], r["city"], r["state"], r["country_code"])
                 out.append(d.places[n].key if n >= 0 else 0)
             yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(out, pa.int64())], names=["value", "geoname_id"])
@@ -350,24 +352,33 @@ def mapped_by_join(rows: DataFrame, places: DataFrame) -> DataFrame:
     return valued.join(answers, "value", "left").groupBy("id").agg(F.max(F.coalesce("geoname_id", F.lit(0))).alias("geoname_id"))
 
 
-def mapped(typed: DataFrame, places: DataFrame, most: int = MOST_ENTRIES) -> DataFrame:
+def _strings(places: DataFrame, slip: int) -> int:
+    """About how many strings a dictionary of the list holds."""
+    long = lambda n: sum((F.pow(n.cast("double"), k) / math.factorial(k) for k in range(1, slip + 1)), F.lit(1.0))
+    names = F.flatten(F.array(F.array("canonical_name", "ascii_name"), F.coalesce("search_names", F.array().cast("array<string>"))))
+    every = F.aggregate(F.array_distinct(names), F.lit(0.0), lambda a, x: a + long(F.coalesce(F.length(x), F.lit(0))))
+    return int(places.agg(F.sum(every)).first()[0] or 0)
+
+
+def mapped(typed: DataFrame, places: DataFrame, most: int = MOST_STRINGS, slip: int = SLIP) -> DataFrame:
     """For each typed row (id bigint, label, city, state, country_code) the place it means: (id, geoname_id), 0 for none.
 
-    places: geoname_id, kind, canonical_name, ascii_name, search_names, country_code, admin1_code, population.  A list of
-    at most ``most`` entries is sent to the workers, which build the dictionary; a larger one is joined.  Repeated rows
+    places: geoname_id, kind, canonical_name, ascii_name, search_names, country_code, admin1_code, population.  slip: by
+    how many edits a typed name may differ from the one it means (fewer where it is short).  A list whose dictionary has
+    at most about ``most`` strings is sent to the workers, which build the dictionary; a larger one is joined.  Repeated rows
     count once; of differing rows of one id the largest result stands.  Null, empty and very long values are
     fine; an empty reference list maps everything to 0.
     """
     rows = typed.select("id", "label", "city", "state", "country_code").filter("id is not null")
-    listed = places.select(*_COLUMNS).filter("geoname_id is not null").dropDuplicates(["geoname_id"]).limit(most + 1).collect()
-    if len(listed) > most:
-        return mapped_by_join(rows, places)
-    sent = typed.sparkSession.sparkContext.broadcast(sorted((place_of(r) for r in listed), key=lambda p: p.key))
+    entries = places.select(*_COLUMNS).filter("geoname_id is not null").dropDuplicates(["geoname_id"])
+    if _strings(places, slip) > most:
+        return mapped_by_join(rows, places, slip)
+    sent = typed.sparkSession.sparkContext.broadcast(sorted((place_of(r) for r in entries.collect()), key=lambda p: p.key))  # at most ``most`` names
 
     token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        d = _shared(token, sent.value)
+        d = _shared(token, sent.value, slip)
         known: dict[tuple, int] = {}
         for batch in batches:
             yield _resolved(batch, d, known)

@@ -49,7 +49,7 @@ def test_large_lists_are_joined_with_the_same_result(spark):
     r = random.Random(8)
     pieces = ["Hentzau", "HENTZUA", "SL", "ru", "Ruritania", "Nebelsbad", "near Tarlenheim", "N. Grossburg", "Atlantis", "Altstadthof XX", "Zubrowca", "", None]
     typed = spark.createDataFrame([(i, *(r.choice([", ".join(x for x in r.sample(pieces, 2) if x), r.choice(pieces)]) for _ in range(2)), r.choice(pieces), r.choice(pieces), "x") for i in range(300)], ROWS)
-    small, joined = ({tuple(x) for x in ca.mapped(typed, places, most=m).collect()} for m in (100, 3))
+    small, joined = ({tuple(x) for x in ca.mapped(typed, places, most=m).collect()} for m in (100_000, 3))
     assert len(small) == 300 and small == joined
 
 
@@ -75,3 +75,28 @@ def test_edits_and_lookup_match_brute_force():
         near = {k for k, n in enumerate(names) if osa(q, n) <= 1}
         exact = {k for k in near if names[k] == q}
         assert {k for _, k in d.find(q, (ca.LOCALITY,))} == (exact or near)
+
+
+@pytest.mark.parametrize("slip", [1, 2, 3])
+def test_more_edits_on_request(spark, slip):
+    r = random.Random(slip)
+    word = lambda n: "".join(r.choice("abcdef") for _ in range(n))
+    names = list({word(r.randrange(5, 18)) for _ in range(80)})
+    places = spark.createDataFrame([(k + 1, "locality", n, n, None, "RU", None, k) for k, n in enumerate(names)], SCHEMA)
+    typed = []
+    for i in range(60):
+        w = list(r.choice(names))
+        for _ in range(r.randrange(0, 4)):
+            at = r.randrange(len(w))
+            w[at : at + 1] = r.choice([[], [w[at], "x"], ["y"]])
+        typed.append("".join(w))
+    rows = spark.createDataFrame([(i, t, None, None, None, "") for i, t in enumerate(typed)], ROWS)
+    sent, joined = ({x["id"]: x["geoname_id"] for x in ca.mapped(rows, places, most=m, slip=slip).collect()} for m in (10**7, 1))
+    assert sent == joined
+    for i, t in enumerate(typed):
+        edits = {k + 1: osa(t, n) for k, n in enumerate(names)}
+        fewest = min(edits.values())
+        if fewest <= ca.allowed(len(t), slip) and not (len(t) < 4):
+            assert edits[sent[i]] == fewest
+        else:
+            assert sent[i] == 0
