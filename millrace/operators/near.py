@@ -2,13 +2,14 @@
 
 Method: trapezoidal decomposition.  The region within a distance of a place has two boundary edges,
 west and east, which are functions of latitude.  The sphere is cut into cells (bands of latitude by
-sectors of longitude); in each cell the latitudes at which regions begin and end, and a few between
-them, cut the regions into slabs in which every region is a trapezoid between its two edges.  The
+sectors of longitude), and each cell into slabs of equal height, a few to a region's height, so that a region crosses
+few of them however many regions there are.  In a slab a region lies within a trapezoid between its two edges; the
 trapezoids of a slab are ordered by their west edge; a point finds its slab, and in it the trapezoids
 it may lie in, by binary search, and an exact distance decides.
 
-Points go to one cell each, regions to every cell they touch.  Cells with many points are split by a
-salt, with the cell's regions in each part, so no task holds more than its share of a hot place.
+Points go to one cell each, regions to every cell they touch.  A cell with many points or many regions is cut into
+parts of either, and every part of its points meets every part of its regions by itself, so no task holds more than
+its share of a hot place on either side.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.scratch import cut
+
 EARTH_KM = 6371.0088
-#: Height and width of a cell in degrees (at least), and points of a cell that one part takes.
-BAND, SECTOR, ROOM = 0.5, 1.0, 200_000
-#: Slabs to a region's height, besides where regions begin and end.
-_FINE = 4
+#: Height and width of a cell in degrees (at least), and points and regions of a cell that one part takes.
+BAND, SECTOR, ROOM, REGIONS = 0.5, 1.0, 200_000, 100_000
+#: Slabs to a region's height, and to a cell's at most.
+_FINE, _SLABS = 4, 4096
 _EPS = 1e-7
 
 
@@ -41,12 +44,6 @@ def distance_km(lat1: np.ndarray, lng1: np.ndarray, lat2: np.ndarray, lng2: np.n
     return 2 * EARTH_KM * np.arcsin(np.sqrt(np.minimum(1.0, s)))
 
 
-def distance_km_column(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """The same as a column."""
-    s = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
-    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), s)))
-
-
 def half_widths(lat: np.ndarray, low: np.ndarray, high: np.ndarray, radius: float) -> np.ndarray:
     """Degrees of longitude between a region's centre and its edge, the most within latitudes low..high."""
     c, d = np.radians(lat), radius / EARTH_KM
@@ -65,11 +62,12 @@ class Slabs:
 
     def __init__(self, lat: np.ndarray, lng: np.ndarray, radius: float, low: float, high: float) -> None:
         tall = math.degrees(radius / EARTH_KM) + _EPS
+        self.many = max(len(lat), 1)
         bottom, top = np.maximum(lat - tall, low - _EPS), np.minimum(lat + tall, high + _EPS)
-        marks = np.concatenate([[low - _EPS, high + _EPS], bottom, top, np.arange(low, high, max(tall * 2 / _FINE, (high - low) / 64))])
-        self.cuts = np.unique(np.clip(marks, low - _EPS, high + _EPS))
-        first = np.searchsorted(self.cuts, bottom, "left")
-        last = np.searchsorted(self.cuts, top, "left")
+        slabs = int(min(max(1, math.ceil((high - low) / (2 * tall / _FINE))), _SLABS))
+        self.cuts = np.linspace(low - _EPS, high + _EPS, slabs + 1)
+        first = np.maximum(np.searchsorted(self.cuts, bottom, "right") - 1, 0)
+        last = np.minimum(np.searchsorted(self.cuts, top, "left"), slabs)
         many = np.maximum(last - first, 0)
         region = np.repeat(np.arange(len(lat)), many)
         slab = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[region]
@@ -90,59 +88,85 @@ class Slabs:
 
     def candidates(self, lat: np.ndarray, lng: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(point, region) for all trapezoids that hold a point: by binary search among the slab's west edges."""
-        slab = np.clip(np.searchsorted(self.cuts, lat, "right") - 1, 0, len(self.cuts) - 1)
+        slab = np.clip(np.searchsorted(self.cuts, lat, "right") - 1, 0, len(self.cuts) - 2)
         first = np.maximum(np.searchsorted(self.key, slab * 4096.0 + (lng - self.wide[slab] + 1024.0) - _EPS, "left"), self.start[slab])
         last = np.minimum(np.searchsorted(self.key, slab * 4096.0 + (lng + 1024.0) + _EPS, "right"), self.start[slab + 1])
         many = np.maximum(last - first, 0)
         point = np.repeat(np.arange(len(lat)), many)
         at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[point]
         inside = self.east[at] >= lng[point]
-        return point[inside], self.region[at[inside]]
+        # a region around a pole may hold a point in two of its turns
+        pair = np.unique(point[inside] * self.many + self.region[at[inside]])
+        return pair // self.many, pair % self.many
 
 
-def _located(radius: float, band: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key: tuple | None = None
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        slabs: Slabs | None = None
-        places: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
+def met(batches: Iterator[pa.RecordBatch], values: list[str], build: Callable, locate: Callable, step: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Points of each part of a cell located in what is built of the rows before them.
+
+    Rows come sorted by band, sector, part, other and is_point; ``build`` takes a part's region rows (a list of
+    columns) and the band, ``locate`` what was built and a stretch of points.
+    """
+    keys = ("band", "sector", "part", "other", "is_point")
+    key: tuple | None = None
+    held: list[list[np.ndarray]] = []
+    built = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(c).to_numpy() for c in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        own = [batch.column(c).to_numpy(zero_copy_only=False) for c in values]
+        for a, b in zip(edges[:-1], edges[1:]):
+            now = tuple(int(c[a]) for c in cols[:4])
+            if now != key:
+                key, held, built = now, [], None
+            if not cols[4][a]:
+                held.append([v[a:b] for v in own])
                 continue
-            cols = [batch.column(c).to_numpy() for c in ("band", "sector", "part", "is_point")]
-            change = np.zeros(batch.num_rows, bool)
-            for c in cols:
-                change[1:] |= c[1:] != c[:-1]
-            edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            ids, lat, lng = (batch.column(c).to_numpy() for c in ("id", "lat", "lng"))
-            for a, b in zip(edges[:-1], edges[1:]):
-                now = tuple(int(c[a]) for c in cols[:3])
-                if now != key:
-                    key, held, slabs = now, [], None
-                if not cols[3][a]:
-                    held.append((ids[a:b], lat[a:b], lng[a:b]))
-                    continue
-                if not held:
-                    continue
-                if slabs is None:
-                    places = tuple(np.concatenate(x) for x in zip(*held))
-                    low = -90 + now[0] * band
-                    slabs = Slabs(places[1], places[2], radius, low, low + band)
-                for s in range(a, b, 20_000):
-                    e = min(b, s + 20_000)
-                    p, r = slabs.candidates(lat[s:e], lng[s:e])
-                    d = distance_km(lat[s:e][p], lng[s:e][p], places[1][r], places[2][r])
-                    ok = d <= radius
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[s:e][p[ok]]), pa.array(places[0][r[ok]]), pa.array(d[ok])], names=["point_id", "place_id", "km"])
-
-    return run
+            if not held:
+                continue
+            if built is None:
+                built = build([np.concatenate(x) for x in zip(*held)], now[0])
+            for s in range(a, b, step):
+                yield locate(built, [v[s : min(b, s + step)] for v in own])
+
+
+def in_parts(points: DataFrame, regions: DataFrame, values: list[str], regions_a_part: int) -> DataFrame:
+    """Points and regions (band, sector, id, ``values``) of cells that have both, dealt to parts, together and in order.
+
+    Points get nulls for the values they lack.
+    """
+    cell = ["band", "sector"]
+    size = lambda rows, room, name: rows.groupBy(*cell).agg(F.ceil(F.count("*") / room).cast("int").alias(name))
+    parts = size(points, ROOM, "parts").join(size(regions, regions_a_part, "others"), cell)
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    p = points.join(parts, cell).withColumn("part", F.pmod(F.xxhash64("id", "lat", "lng"), F.col("parts")).cast("int")).withColumn("other", every("others"))
+    q = regions.join(parts, cell).withColumn("other", F.pmod(F.xxhash64("id", *values), F.col("others")).cast("int")).withColumn("part", every("parts"))
+    keys = [*cell, "part", "other"]
+    own = lambda rows, is_point: rows.select(*keys, F.lit(is_point).alias("is_point"), "id", *[c if c in rows.columns else F.lit(None).cast("double").alias(c) for c in dict.fromkeys(["lat", "lng", *values])])
+    return own(q, 0).unionByName(own(p, 1)).repartition(*keys).sortWithinPartitions(*keys, "is_point")
+
+
+def usable_points(points: DataFrame, row: Callable[[Column], Column], column: Callable[[Column], Column]) -> DataFrame:
+    """Points with id and usable coordinates, each once, in their cells."""
+    good = points.select("id", "lat", "lng").filter(usable(F.col("lat"), F.col("lng")) & F.col("id").isNotNull()).distinct()
+    return cut(good.select("id", "lat", "lng", row(F.col("lat")).alias("band"), column(F.col("lng")).alias("sector")), "points")
+
+
+def several_places(rows: DataFrame) -> bool:
+    """Whether an id stands at more than one place."""
+    return not rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
 def near(points: DataFrame, places: DataFrame, radius_km: float) -> DataFrame:
     """Pairs (point_id, place_id, km) at most ``radius_km`` apart.
 
     points, places: (id bigint, lat double, lng double).  Rows without id or usable coordinates find
-    nothing; repeated rows count once; a point at a place's own position is near it.  Either table may be empty.
+    nothing; repeated rows count once; of an id at several places the least distance counts; a point at a place's own
+    position is near it.  Either table may be empty.
     """
     if not 0 < radius_km < EARTH_KM:
         raise ValueError("radius_km must be positive and less than the earth's radius")
@@ -152,21 +176,24 @@ def near(points: DataFrame, places: DataFrame, radius_km: float) -> DataFrame:
     bands, sectors = math.ceil(180 / band), math.ceil(360 / sector)
     row = lambda x: F.least(F.floor((x + 90) / band), F.lit(bands - 1)).cast("int")
     column = lambda x: F.least(F.floor((x + 180) / sector), F.lit(sectors - 1)).cast("int")
-    p = points.select("id", "lat", "lng").filter(usable(lat, lng) & F.col("id").isNotNull()).distinct().select("id", "lat", "lng", row(lat).alias("band"), column(lng).alias("sector"))
-    parts = p.groupBy("band", "sector").agg(F.ceil(F.count("*") / ROOM).cast("int").alias("parts"))
-    p = p.join(parts, ["band", "sector"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    q = places.select("id", "lat", "lng").filter(usable(lat, lng) & F.col("id").isNotNull()).distinct()
+    p = usable_points(points, row, column)
+    q = cut(places.select("id", "lat", "lng").filter(usable(lat, lng) & F.col("id").isNotNull()).distinct(), "places")
     ratio = F.lit(math.sin(radius_km / EARTH_KM)) / F.greatest(F.cos(F.radians(lat)), F.lit(1e-12))
     width = F.when((F.abs(lat) + tall >= 90) | (ratio >= 1), F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + _EPS)
     low, high = F.floor((lng - width + 180) / sector).cast("int"), F.floor((lng + width + 180) / sector).cast("int")
     high = F.least(high, low + sectors - 1)
-    q = (
-        q.withColumn("band", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((lat - tall + 90) / band).cast("int")), F.least(F.lit(bands - 1), F.floor((lat + tall + 90) / band).cast("int")))))
-        .withColumn("sector", F.explode(F.transform(F.sequence(low, high), lambda s: F.pmod(s, F.lit(sectors)))))
-        .join(parts, ["band", "sector"])
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    )
-    keys = ["band", "sector", "part"]
-    both = q.select(*keys, F.lit(0).alias("is_point"), "id", "lat", "lng").unionByName(p.select(*keys, F.lit(1).alias("is_point"), "id", "lat", "lng"))
-    found = both.repartition(*keys).sortWithinPartitions(*keys, "is_point").mapInArrow(_located(radius_km, band), "point_id bigint, place_id bigint, km double")
-    return found.distinct()
+    cells = q.withColumn("band", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((lat - tall + 90) / band).cast("int")), F.least(F.lit(bands - 1), F.floor((lat + tall + 90) / band).cast("int"))))).withColumn("sector", F.explode(F.transform(F.sequence(low, high), lambda s: F.pmod(s, F.lit(sectors)))))
+
+    def build(regions: list[np.ndarray], number: int) -> tuple[Slabs, list[np.ndarray]]:
+        return Slabs(regions[1], regions[2], radius_km, -90 + number * band, -90 + (number + 1) * band), regions
+
+    def locate(built: tuple[Slabs, list[np.ndarray]], own: list[np.ndarray]) -> pa.RecordBatch:
+        slabs, (ids, at, along) = built
+        p, r = slabs.candidates(own[1], own[2])
+        d = distance_km(own[1][p], own[2][p], at[r], along[r])
+        ok = d <= radius_km
+        return pa.RecordBatch.from_arrays([pa.array(own[0][p[ok]]), pa.array(ids[r[ok]]), pa.array(d[ok])], names=["point_id", "place_id", "km"])
+
+    found = in_parts(p, cells, ["lat", "lng"], REGIONS).mapInArrow(lambda batches: met(batches, ["id", "lat", "lng"], build, locate), "point_id bigint, place_id bigint, km double")
+    # a point lies in one cell and one part, and meets each place once: only ids at several places can repeat a pair
+    return found.groupBy("point_id", "place_id").agg(F.min("km").alias("km")) if several_places(p) or several_places(q) else found

@@ -1,11 +1,10 @@
 """The region that contains a point, for regions bounded by polygons.
 
-Method: trapezoidal decomposition.  Within a cell (a band of latitude by a sector of longitude) the
-latitudes of all corners cut the regions into slabs; in a slab every region is made of trapezoids
-between two of its edges, which no corner interrupts.  The trapezoids of a slab are ordered by their
-west edge: a point finds its slab and its trapezoids by binary search, and where it lies between the
-two edges at its own latitude is decided exactly.  Points and regions are dealt to cells as in
-``near``; only the parts of a region's edges that reach a cell's band are kept there.
+Method: trapezoidal decomposition.  In each band of latitude the latitudes of a region's own corners cut it into
+trapezoids between two of its edges, which no corner interrupts.  Trapezoids are rows of their own and go to the cells
+(band by sector of longitude) that they touch.  A cell's trapezoids are kept in slabs, as many as leave each of them in few
+slabs, and ordered by their west edge: a point finds its slab and its trapezoids by binary search, and where it lies between
+the two edges at its own latitude is decided exactly.  Points and trapezoids of a hot cell are dealt to parts as in ``near``.
 """
 
 from __future__ import annotations
@@ -18,44 +17,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.near import BAND, ROOM, SECTOR, usable
+from millrace.operators.near import BAND, REGIONS, SECTOR, in_parts, met, several_places, usable_points
+from millrace.scratch import cut
 
+#: Trapezoids to a slab that are aimed at, and slabs that hold a copy of a trapezoid, on average at most.
+_SLAB, _COPIES = 16, 4
+#: A trapezoid: its region, its lowest and highest latitude, and longitude and slope of its edges at the lowest.
+VALUES = ["low", "high", "west", "west_slope", "east", "east_slope"]
 
-class Trapezoids:
-    """Trapezoids of edges (region, lat and lng of both ends), within latitudes low..high."""
 
-    def __init__(self, region: np.ndarray, lat1: np.ndarray, lng1: np.ndarray, lat2: np.ndarray, lng2: np.ndarray, low: float, high: float) -> None:
-        up = lat1 <= lat2
-        a_lat, a_lng, b_lat, b_lng = np.where(up, lat1, lat2), np.where(up, lng1, lng2), np.where(up, lat2, lat1), np.where(up, lng2, lng1)
-        keep = (a_lat < b_lat) & (b_lat > low) & (a_lat < high)
-        region, a_lat, a_lng, b_lat, b_lng = (x[keep] for x in (region, a_lat, a_lng, b_lat, b_lng))
-        self.cuts = np.unique(np.concatenate([[low, high], np.clip(np.concatenate([a_lat, b_lat]), low, high)]))
-        first = np.searchsorted(self.cuts, np.maximum(a_lat, low), "left")
-        last = np.searchsorted(self.cuts, np.minimum(b_lat, high), "left")
-        many = np.maximum(last - first, 0)
-        edge = np.repeat(np.arange(len(region)), many)
-        slab = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[edge]
-        slope = (b_lng - a_lng) / (b_lat - a_lat)
-        at = lambda e, lat: a_lng[e] + slope[e] * (lat - a_lat[e])
-        middle = at(edge, (self.cuts[slab] + self.cuts[slab + 1]) / 2)
-        order = np.lexsort((middle, region[edge], slab))
-        slab, edge = slab[order], edge[order]
-        # the edges of one region in one slab, from west to east: the first and second bound a trapezoid, the third and fourth the next
-        new = np.concatenate([[True], (slab[1:] != slab[:-1]) | (region[edge][1:] != region[edge][:-1])]) if len(slab) else np.zeros(0, bool)
-        start = np.maximum.accumulate(np.where(new, np.arange(len(slab)), 0)) if len(slab) else np.zeros(0, int)
-        left = np.flatnonzero((np.arange(len(slab)) - start) % 2 == 0)
-        left = left[(left + 1 < len(slab)) & ~np.append(new, True)[left + 1]] if len(left) else left
-        west, east, slab = edge[left], edge[left + 1], slab[left]
-        low_, high_ = self.cuts[slab], self.cuts[slab + 1]
-        self.most_west = np.minimum(at(west, low_), at(west, high_))
-        self.most_east = np.maximum(at(east, low_), at(east, high_))
-        order = np.lexsort((self.most_west, slab))
-        self.slab, self.west, self.east = slab[order], west[order], east[order]
-        self.most_west, self.most_east = self.most_west[order], self.most_east[order]
-        self.region, self._at = region, at
+def trapezoids(region: np.ndarray, lat1: np.ndarray, lng1: np.ndarray, lat2: np.ndarray, lng2: np.ndarray, low: float, high: float) -> list[np.ndarray]:
+    """region and VALUES of the trapezoids of edges, within latitudes low..high."""
+    up = lat1 <= lat2
+    a_lat, a_lng, b_lat, b_lng = np.where(up, lat1, lat2), np.where(up, lng1, lng2), np.where(up, lat2, lat1), np.where(up, lng2, lng1)
+    keep = (a_lat < b_lat) & (b_lat > low) & (a_lat < high)
+    region, a_lat, a_lng, b_lat, b_lng = (x[keep] for x in (region, a_lat, a_lng, b_lat, b_lng))
+    n = len(region)
+    if not n:
+        return [region, *[np.zeros(0)] * len(VALUES)]
+    # the cuts of all regions in one array, region by region
+    ends, owner = np.concatenate([np.maximum(a_lat, low), np.minimum(b_lat, high)]), np.concatenate([region, region])
+    order = np.lexsort((ends, owner))
+    new = np.concatenate([[True], (ends[order][1:] != ends[order][:-1]) | (owner[order][1:] != owner[order][:-1])])
+    cuts, place = ends[order][new], np.empty(2 * n, np.int64)
+    place[order] = np.cumsum(new) - 1
+    many = place[n:] - place[:n]
+    edge = np.repeat(np.arange(n), many)
+    slab = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + place[:n][edge]
+    slope = (b_lng - a_lng) / (b_lat - a_lat)
+    at = lambda e, lat: a_lng[e] + slope[e] * (lat - a_lat[e])
+    order = np.lexsort((at(edge, (cuts[slab] + cuts[slab + 1]) / 2), slab))
+    slab, edge = slab[order], edge[order]
+    # a region's edges in a slab, from west to east: the first and second bound a trapezoid, the third and fourth the next
+    new = np.concatenate([[True], slab[1:] != slab[:-1]])
+    within = np.arange(len(slab)) - np.maximum.accumulate(np.where(new, np.arange(len(slab)), 0))
+    left = np.flatnonzero((within % 2 == 0) & ~np.append(new[1:], True))
+    west, east, slab = edge[left], edge[left + 1], slab[left]
+    return [region[west], cuts[slab], cuts[slab + 1], at(west, cuts[slab]), slope[west], at(east, cuts[slab]), slope[east]]
+
+
+class Index:
+    """Trapezoids in slabs, to be searched."""
+
+    def __init__(self, region: np.ndarray, low: np.ndarray, high: np.ndarray, west: np.ndarray, west_slope: np.ndarray, east: np.ndarray, east_slope: np.ndarray) -> None:
+        self.region, self.low, self.high, self.west, self.west_slope, self.east, self.east_slope = region, low, high, west, west_slope, east, east_slope
+        n = len(region)
+        slabs = max(1, n // _SLAB)
+        while True:
+            self.cuts = np.unique(np.concatenate([np.quantile(low, np.linspace(0, 1, slabs + 1)), [high.max()]])) if n else np.zeros(1)
+            first = np.searchsorted(self.cuts, low, "right") - 1
+            last = np.searchsorted(self.cuts, high, "left")
+            many = np.maximum(last - first, 0)
+            if slabs == 1 or many.sum() <= _COPIES * n:
+                break
+            slabs //= 2
+        trapezoid = np.repeat(np.arange(n), many)
+        slab = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[trapezoid]
+        most_west = np.minimum(west, west + west_slope * (high - low))[trapezoid]
+        most_east = np.maximum(east, east + east_slope * (high - low))[trapezoid]
+        order = np.lexsort((most_west, slab))
+        self.slab, self.trapezoid, self.most_west = slab[order], trapezoid[order], most_west[order]
         self.start = np.searchsorted(self.slab, np.arange(len(self.cuts) + 1))
         self.wide = np.zeros(len(self.cuts) + 1)
-        np.maximum.at(self.wide, self.slab, self.most_east - self.most_west)
+        np.maximum.at(self.wide, self.slab, most_east[order] - self.most_west)
         self.key = self.slab * 8192.0 + (self.most_west + 2048.0)
 
     def containing(self, lat: np.ndarray, lng: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,43 +89,39 @@ class Trapezoids:
         last = np.minimum(np.searchsorted(self.key, slab * 8192.0 + (lng + 2048.0) + 1e-9, "right"), self.start[slab + 1])
         many = np.maximum(last - first, 0)
         point = np.repeat(np.arange(len(lat)), many)
-        t = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[point]
-        inside = (self._at(self.west[t], lat[point]) <= lng[point]) & (lng[point] < self._at(self.east[t], lat[point]))
-        return point[inside], self.region[self.west[t[inside]]]
-
-
-def _located(band: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key: tuple | None = None
-        held: list[list[np.ndarray]] = []
-        built: Trapezoids | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(c).to_numpy() for c in ("band", "sector", "part", "is_point")]
-            change = np.zeros(batch.num_rows, bool)
-            for c in cols:
-                change[1:] |= c[1:] != c[:-1]
-            edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            values = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "lat", "lng", "lat2", "lng2")]
-            for a, b in zip(edges[:-1], edges[1:]):
-                now = tuple(int(c[a]) for c in cols[:3])
-                if now != key:
-                    key, held, built = now, [], None
-                if not cols[3][a]:
-                    held.append([v[a:b] for v in values])
-                    continue
-                if not held:
-                    continue
-                if built is None:
-                    low = -90 + now[0] * band
-                    built = Trapezoids(*(np.concatenate(x) for x in zip(*held)), low, low + band)
-                for s in range(a, b, 20_000):
-                    e = min(b, s + 20_000)
-                    p, r = built.containing(values[1][s:e], values[2][s:e])
-                    yield pa.RecordBatch.from_arrays([pa.array(values[0][s:e][p]), pa.array(r)], names=["point_id", "region_id"])
-
-    return run
+        t = self.trapezoid[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + first[point]]
+        y, x = lat[point], lng[point]
+        inside = (self.low[t] <= y) & (y < self.high[t]) & (self.west[t] + self.west_slope[t] * (y - self.low[t]) <= x) & (x < self.east[t] + self.east_slope[t] * (y - self.low[t]))
+        return point[inside], self.region[t[inside]]
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trapezoids of the edges of regions, which come sorted by band and region."""
+    held: list[pa.RecordBatch] = []
+
+    def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows)
+        band = t.column("band").to_numpy()
+        for b in np.unique(band).tolist():
+            own = band == b
+            out = trapezoids(*(t.column(c).to_numpy()[own] for c in ("id", "lat", "lng", "lat2", "lng2")), -90 + b * BAND, -90 + (b + 1) * BAND)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out[0]), b, np.int32)), *map(pa.array, out)], names=["band", "id", *VALUES])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = (batch.column("band")[-1].as_py(), batch.column("id")[-1].as_py())
+        last = (batch.column("band").to_numpy() == key[0]) & (batch.column("id").to_numpy() == key[1])
+        start = int(np.argmax(last))  # the last region may go on in the next batch
+        if start:
+            yield from flush([*held, batch.slice(0, start)])
+            held = []
+        elif held and (held[-1].column("band")[-1].as_py(), held[-1].column("id")[-1].as_py()) != key:
+            yield from flush(held)
+            held = []
+        held.append(batch.slice(start))
+    if held:
+        yield from flush(held)
 
 
 def containing(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -109,30 +129,30 @@ def containing(points: DataFrame, regions: DataFrame) -> DataFrame:
 
     points: (id bigint, lat double, lng double); regions: (id bigint, ring array<struct<lat,lng>>), straight between
     corners in latitude and longitude, closed or not, not crossing the date line; several rings of one id are one region,
-    rings within rings are holes.  Null or short rings contain nothing.  Regions may overlap.
+    rings within rings are holes.  Null or short rings contain nothing.  Regions may overlap; repeated points count once.
     """
     bands, sectors = math.ceil(180 / BAND), math.ceil(360 / SECTOR)
-    lat, lng = F.col("lat"), F.col("lng")
     row = lambda x: F.greatest(F.lit(0), F.least(F.floor((x + 90) / BAND), F.lit(bands - 1))).cast("int")
     column = lambda x: F.greatest(F.lit(0), F.least(F.floor((x + 180) / SECTOR), F.lit(sectors - 1))).cast("int")
-    p = points.select("id", "lat", "lng").filter(usable(lat, lng) & F.col("id").isNotNull()).distinct().select("id", "lat", "lng", row(lat).alias("band"), column(lng).alias("sector"))
-    parts = p.groupBy("band", "sector").agg(F.ceil(F.count("*") / ROOM).cast("int").alias("parts"))
-    p = p.join(parts, ["band", "sector"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    p = usable_points(points, row, column)
     good = regions.filter("id is not null and size(ring) >= 3").select("id", "ring")
     ring = good.select("id", F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(F.concat("ring", F.slice("ring", 1, 1))).alias("r"))
-    # an edge goes to the bands it crosses, and there to all sectors that its region spans: parity needs the edges west of a point
-    span = ring.groupBy("id").agg(F.min(F.array_min(F.transform("r", lambda c: c["lng"]))).alias("w"), F.max(F.array_max(F.transform("r", lambda c: c["lng"]))).alias("e"))
     lines = ring.select("id", F.explode(F.arrays_zip(F.slice("r", F.lit(1), F.size("r") - 1).alias("a"), F.slice("r", F.lit(2), F.size("r") - 1).alias("b"))).alias("x")).select("id", F.col("x.a.lat").alias("lat"), F.col("x.a.lng").alias("lng"), F.col("x.b.lat").alias("lat2"), F.col("x.b.lng").alias("lng2"))
     low, high = F.least("lat", "lat2"), F.greatest("lat", "lat2")
-    q = (
-        lines.filter("lat <> lat2")
-        .join(span, "id")
-        .withColumn("band", F.explode(F.sequence(row(low), row(high))))
-        .withColumn("sector", F.explode(F.sequence(column(F.col("w")), column(F.col("e")))))
-        .join(parts, ["band", "sector"])
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    )
-    keys = ["band", "sector", "part"]
-    none = F.lit(None).cast("double")
-    both = q.select(*keys, F.lit(0).alias("is_point"), "id", "lat", "lng", "lat2", "lng2").unionByName(p.select(*keys, F.lit(1).alias("is_point"), "id", "lat", "lng", none.alias("lat2"), none.alias("lng2")))
-    return both.repartition(*keys).sortWithinPartitions(*keys, "is_point").mapInArrow(_located(BAND), "point_id bigint, region_id bigint").distinct()
+    edges = lines.filter("lat <> lat2").withColumn("band", F.explode(F.sequence(row(low), row(high))))
+    kinds = ", ".join(f"{v} double" for v in VALUES)
+    split = edges.select("band", "id", "lat", "lng", "lat2", "lng2").repartition("band", "id").sortWithinPartitions("band", "id").mapInArrow(_split, f"band int, id bigint, {kinds}")
+    tall = F.col("high") - F.col("low")
+    west, east = F.least("west", F.col("west") + F.col("west_slope") * tall), F.greatest("east", F.col("east") + F.col("east_slope") * tall)
+    cells = cut(split.withColumn("sector", F.explode(F.sequence(column(west), column(east)))), "trapezoids")
+
+    def build(rows: list[np.ndarray], number: int) -> Index:
+        return Index(rows[0], *rows[3:])
+
+    def locate(built: Index, own: list[np.ndarray]) -> pa.RecordBatch:
+        at, region = built.containing(own[1], own[2])
+        return pa.RecordBatch.from_arrays([pa.array(own[0][at]), pa.array(region)], names=["point_id", "region_id"])
+
+    found = in_parts(p, cells, VALUES, REGIONS).mapInArrow(lambda batches: met(batches, ["id", "lat", "lng", *VALUES], build, locate), "point_id bigint, region_id bigint")
+    # a point meets each trapezoid once, and those of a region don't overlap
+    return found.distinct() if several_places(p) else found

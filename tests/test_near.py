@@ -40,3 +40,30 @@ def test_hot_place_is_split(spark, monkeypatch):
 
     monkeypatch.setattr(module, "ROOM", 50)
     assert len(pairs(spark, [(i, 10.0, 20.0 + i * 1e-5) for i in range(400)], [(1, 10.0, 20.0), (2, 10.1, 20.0)], 25.0)) == 800
+
+
+def test_both_sides_of_a_hot_place_are_split(spark, monkeypatch):
+    from millrace.operators import near as module
+
+    monkeypatch.setattr(module, "ROOM", 70)
+    monkeypatch.setattr(module, "REGIONS", 30)
+    points = [(i, 10.0 + i * 1e-5, 20.0) for i in range(200)]
+    assert len(pairs(spark, points, [(i, 10.0, 20.0 + i * 1e-5) for i in range(90)], 25.0)) == 200 * 90
+
+
+def test_an_id_at_several_places_counts_once(spark):
+    f = lambda rows: spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA)
+    out = near(f([(1, 10.0, 20.0), (1, 10.1, 20.0)]), f([(7, 10.1, 20.0), (7, 10.15, 20.0)]), 25.0).collect()
+    assert [(r["point_id"], r["place_id"], round(r["km"], 6)) for r in out] == [(1, 7, 0.0)]
+
+
+def test_trapezoids_grow_in_proportion():
+    from millrace.operators.near import Slabs
+
+    rng = np.random.default_rng(1)
+    each = []
+    for n in (500, 4000, 32_000):
+        lat, lng = rng.uniform(10, 10.5, n), rng.uniform(20, 21, n)
+        each.append(len(Slabs(lat, lng, 25.0, 10.0, 10.5).slab) / n)
+        each.append(len(Slabs(lat, lng, 0.2, 10.0, 10.5).slab) / n)
+    assert max(each) < 7

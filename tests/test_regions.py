@@ -1,6 +1,6 @@
 import numpy as np
 
-from millrace.operators.regions import containing
+from millrace.operators.regions import Index, containing, trapezoids
 
 POINTS = "id bigint, lat double, lng double, band int"
 REGIONS = "id bigint, ring array<struct<lat:double,lng:double>>, part int"
@@ -40,3 +40,26 @@ def test_squares_holes_nulls_and_empty(spark):
     points = [(1, 3.0, 3.0), (2, 1.5, 1.5), (3, 5.0, 1.0), (4, None, 1.0), (5, 0.5, 0.0)]
     assert pairs(spark, points + points[:1], [(7, square), (7, hole), (8, None), (9, [(0.0, 0.0)])]) == {(1, 7), (5, 7)}
     assert pairs(spark, [], [(7, square)]) == set() and pairs(spark, points, []) == set()
+
+
+def test_hot_cell_is_split_on_both_sides(spark, monkeypatch):
+    from millrace.operators import near, regions
+
+    monkeypatch.setattr(near, "ROOM", 60)
+    monkeypatch.setattr(regions, "REGIONS", 20)
+    rng = np.random.default_rng(6)
+    boxes = [(i, [(10 + a, 20 + b), (10 + a, 20.2 + b), (10.1 + a, 20.2 + b), (10.1 + a, 20 + b)]) for i, (a, b) in enumerate(zip(rng.uniform(0, 0.3, 70).tolist(), rng.uniform(0, 0.5, 70).tolist()))]
+    points = [(k, 10 + a, 20 + b) for k, (a, b) in enumerate(zip(rng.uniform(0, 0.5, 150).tolist(), rng.uniform(0, 0.9, 150).tolist()))]
+    assert pairs(spark, points, boxes) == {(k, i) for k, a, b in points for i, r in boxes if inside(a, b, r)}
+
+
+def test_trapezoids_grow_in_proportion():
+    rng = np.random.default_rng(1)
+    for n in (500, 4000, 32_000):
+        lat, lng, size = rng.uniform(10, 10.4, n), rng.uniform(20, 21, n), rng.uniform(0.001, 0.1, n)
+        turn = [0.1, 1.7, 3.0, 4.6]
+        corner = [(lat + size * np.sin(t), lng + size * np.cos(t)) for t in turn]
+        edges = [np.concatenate(x) for x in zip(*((np.arange(n), *corner[k], *corner[(k + 1) % 4]) for k in range(4)))]
+        found = trapezoids(*edges, 10.0, 10.5)
+        index = Index(*found)
+        assert len(found[0]) <= 3 * n and len(index.slab) <= 12 * n
