@@ -84,23 +84,43 @@ def multi_point(points: Column) -> Column:
     return F.when(F.size(kept) > 0, F.to_json(F.struct(F.lit("MultiPoint").alias("type"), pairs.alias("coordinates"))))
 
 
-def blank_to_null(c: Column) -> Column:
-    """Null for '', 0 and the words that stand for unknown."""
-    return F.when(~F.lower(F.trim(c.cast("string"))).isin("", "0", "0.0", "unknown", "not_specified"), c)
+#: Names of countries in filters.
+COUNTRIES = {
+    "us": "US", "usa": "US", "united states": "US", "united states of america": "US", "ca": "CA", "canada": "CA", "mx": "MX", "mexico": "MX",
+    "au": "AU", "australia": "AU", "nz": "NZ", "new zealand": "NZ", "gb": "GB", "uk": "GB", "united kingdom": "GB", "japan": "JP", "india": "IN",
+    "sweden": "SE", "france": "FR", "germany": "DE", "netherlands": "NL", "spain": "ES", "argentina": "AR", "colombia": "CO", "panama": "PA", "peru": "PE", "portugal": "PT",
+}
 
+#: Names and codes of languages.
+LANGUAGES = {
+    "en": "en", "eng": "en", "english": "en", "fr": "fr", "fra": "fr", "fre": "fr", "french": "fr", "francais": "fr", "français": "fr",
+    "de": "de", "deu": "de", "ger": "de", "german": "de", "deutsch": "de", "es": "es", "spa": "es", "spanish": "es", "espanol": "es", "español": "es",
+    "it": "it", "italian": "it", "italiano": "it", "pt": "pt", "por": "pt", "portuguese": "pt", "português": "pt", "pt-br": "pt",
+    "ja": "ja", "jpn": "ja", "japanese": "ja", "日本語": "ja", "zh": "zh", "zho": "zh", "chi": "zh", "chinese": "zh", "zh-cn": "zh", "zh-tw": "zh",
+    "ko": "ko", "kor": "ko", "korean": "ko", "한국어": "ko", "nl": "nl", "dutch": "nl", "nederlands": "nl", "pl": "pl", "polish": "pl", "polski": "pl",
+    "sv": "sv", "swe": "sv", "swedish": "sv", "svenska": "sv", "da": "da", "danish": "da", "dansk": "da", "no": "no", "norwegian": "no", "norsk": "no",
+    "fi": "fi", "finnish": "fi", "suomi": "fi",
+}
 
-def proportional(n: Column, whole: Column, total: int) -> Column:
-    """A share of ``total`` before rounding: n of whole."""
-    return n.cast("double") * total / whole
+#: Frequent words that tell languages apart.
+STOPWORDS = {
+    "en": "the and for with you your will our this that team role".split(),
+    "fr": "nous vous notre votre avec dans pour une des les est grâce chez rejoins poste".split(),
+    "de": "und der die das mit für ein eine unser unsere rolle team".split(),
+    "es": "con para una las los nuestro nuestra equipo puesto trabajo".split(),
+    "pt": "com para uma das dos nosso nossa equipe vaga trabalho".split(),
+    "it": "con per una della delle nostro nostra team ruolo posizione".split(),
+    "nl": "met voor een ons onze team rol functie je jij".split(),
+}
+#: Words a text needs to be judged, and frequent ones among them.
+LEAST_WORDS, LEAST_FREQUENT = 8, 4
 
 
 def country_code(c: Column, aliases: dict[str, str] | None = None) -> Column:
-    """Two letters upper-cased, else the code of a known name, else null."""
+    """The code of a known name, else two letters upper-cased, else null."""
     v = F.trim(c)
-    out = F.when(F.regexp(v, F.lit("^[A-Za-z]{2}$")), F.upper(v))
-    if aliases:
-        out = F.coalesce(out, F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), F.lower(v)))
-    return out
+    known = F.create_map(*[F.lit(x) for kv in {**COUNTRIES, **(aliases or {})}.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, F.lower(v)), F.when(F.regexp(v, F.lit("^[A-Za-z]{2}$")), F.upper(v)))
 
 
 def language_code(c: Column, aliases: dict[str, str] | None = None) -> Column:
@@ -111,31 +131,17 @@ def language_code(c: Column, aliases: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.try_element_at(known, v), F.try_element_at(known, head), F.when(F.regexp(head, F.lit("^[a-z]{2}$")), head))
 
 
-#: Names and three-letter codes of some languages.
-LANGUAGES = {
-    "english": "en", "eng": "en", "german": "de", "deutsch": "de", "deu": "de", "ger": "de", "french": "fr", "fra": "fr", "fre": "fr", "français": "fr",
-    "spanish": "es", "spa": "es", "español": "es", "italian": "it", "ita": "it", "portuguese": "pt", "por": "pt", "dutch": "nl", "nld": "nl",
-}
-
-#: Frequent words that tell languages apart.
-STOPWORDS = {
-    "en": "the and with for you our your are will".split(),
-    "de": "und der die das mit für sie wir oder".split(),
-    "fr": "le la les des vous pour avec nous une".split(),
-    "es": "el los las para con una por usted del".split(),
-}
-
-
-def guessed_language(c: Column, least: int = 4) -> Column:
-    """The language with the most frequent words in the text, the first on a tie; null below ``least``."""
-    words = F.split(F.lower(c), r"(?U)[^\p{L}]+")
+def guessed_language(c: Column) -> Column:
+    """Japanese or Korean by script, else the language with the most frequent words, the first on a tie; null for too few of them."""
+    words = F.regexp_extract_all(F.lower(c), F.lit("([a-zà-ÿ]+)"), 1)
 
-    def count(own: list[str]) -> Column:
+    def counted(own: list[str]) -> Column:
         return F.size(F.filter(words, lambda w: w.isin(own)))
 
-    score = {k: count(own) for k, own in STOPWORDS.items()}
+    score = {k: counted(own) for k, own in STOPWORDS.items()}
     best = F.greatest(*score.values())
     out = F.lit(None).cast("string")
     for k in reversed(list(score)):
         out = F.when(score[k] == best, F.lit(k)).otherwise(out)
-    return F.when(best >= least, out)
+    scripted = F.when(F.regexp(c, F.lit("[\u3040-\u30ff]")), "ja").when(F.regexp(c, F.lit("[\uac00-\ud7af]")), "ko")
+    return F.coalesce(scripted, F.when((F.size(words) >= LEAST_WORDS) & (best >= LEAST_FREQUENT), out))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.functions import values as vl
-from millrace.operators import duplicates, gazetteer, merge, recommend, units
+from millrace.operators import duplicates, gazetteer, merge, recommend, selection, units
 from millrace.operators.slugs import slug_map
 from millrace.sources import postings, readers
 from millrace.streaming import changes
@@ -187,9 +187,7 @@ def guarded_results(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT ats, board_token, CAST(('0x' || substr(sha256(ats || ':' || board_token), 1, 16))::UBIGINT % 7 AS INTEGER) AS shard FROM pipeline_companies WHERE ats IS NOT NULL AND board_token IS NOT NULL")
 def board_shards(spark: SparkSession, folder: str) -> DataFrame:
     """The shard, of seven, of every board: the same in any engine."""
-    key = F.substring(F.sha2(F.concat_ws(":", "ats", "board_token"), 256), 1, 16)
-    shard = (F.conv(key, 16, 10).cast("decimal(20,0)") % 7).cast("int")
-    return table(spark, folder, "pipeline_companies").filter("ats is not null and board_token is not null").select("ats", "board_token", shard.alias("shard"))
+    return table(spark, folder, "pipeline_companies").filter("ats is not null and board_token is not null").select("ats", "board_token", selection.shard([F.col("ats"), F.col("board_token")], 7).alias("shard"))
 
 
 _NEWEST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY currency_code ORDER BY as_of_date DESC, updated_at DESC NULLS LAST, usd_per_unit DESC) AS rn FROM fx_rates WHERE currency_code IS NOT NULL AND as_of_date IS NOT NULL AND usd_per_unit > 0 AND NOT isnan(usd_per_unit)) WHERE rn = 1)"
@@ -472,9 +470,9 @@ def _score(lang: str) -> str:
 
 
 @query(
-    "WITH t AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM documents WHERE text IS NOT NULL), s AS (SELECT doc_id, "
+    "WITH t AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[a-zà-ÿ]+') AS w FROM documents WHERE text IS NOT NULL), s AS (SELECT doc_id, text, w, "
     + ", ".join(f"{_score(k)} AS {k}" for k in vl.STOPWORDS)
-    + " FROM t) SELECT doc_id, CASE WHEN greatest(" + ", ".join(vl.STOPWORDS) + ") < 4 THEN NULL "
+    + " FROM t) SELECT doc_id, CASE WHEN regexp_matches(text, '[\u3040-\u30ff]') THEN 'ja' WHEN regexp_matches(text, '[\uac00-\ud7af]') THEN 'ko' WHEN len(w) < 8 OR greatest(" + ", ".join(vl.STOPWORDS) + ") < 4 THEN NULL "
     + " ".join(f"WHEN {k} = greatest({', '.join(vl.STOPWORDS)}) THEN '{k}'" for k in vl.STOPWORDS)
     + " END AS language FROM s"
 )
@@ -491,7 +489,7 @@ def streamed_state(spark: SparkSession, folder: str) -> DataFrame:
 
     state = _state(spark, folder).select("id", "title", "content_hash", "last_seen_at", "removed_at", "snapshot_no")
     path = place(spark, "arrivals")
-    state.repartition(4, "snapshot_no").write.parquet(path)
+    state.repartition("snapshot_no", F.pmod(F.xxhash64("id"), F.lit(spark.sparkContext.defaultParallelism))).write.parquet(path)
     held = VersionedTable(spark, place(spark, "state"))
     changes.merge_stream(changes.parquet_stream(spark, path, state.schema, 1), held, ["id"], "snapshot_no", place(spark, "progress"), newest_wins).awaitTermination()
     out = held.read()

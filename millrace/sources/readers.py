@@ -77,24 +77,29 @@ def matched_results(results: DataFrame, leases: DataFrame) -> DataFrame:
     return j.select("job_id", status.alias("status"))
 
 
-#: Marks of a page that asks whether a reader is a robot.
-CHALLENGE = ("just a moment", "cf-chl", "captcha", "attention required")
+#: The header's word and the page's title of an answer that asks whether a reader is a robot.
+MITIGATED, ASKING_TITLE = "challenge", "Security challenge"
 
 
-def probe_class(status: Column, content_type: Column, body: Column) -> Column:
-    """What an endpoint's answer is: ok, unexpected_json_200, non_json_200, challenge, error or request_error (no answer)."""
-    low = F.lower(F.coalesce(body, F.lit("")))
-    asked = F.lit(False)
-    for mark in CHALLENGE:
-        asked = asked | F.contains(low, F.lit(mark))
+def page_title(body: Column) -> Column:
+    """The text of a page's title element, spaces collapsed; null without one."""
+    return F.nullif(F.trim(F.regexp_replace(F.regexp_extract(body, r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " ")), F.lit(""))
+
+
+def probe_class(status: Column, mitigated: Column, body: Column) -> Column:
+    """What an endpoint's answer is: ok, unexpected_json_200, non_json_200, challenge, error or request_error (no answer).
+
+    A good answer is judged by its JSON alone, whatever words it holds; any other is a challenge by its header or title.
+    """
     parsed = F.try_parse_json(body)
-    is_json = parsed.isNotNull() & F.regexp(low, F.lit(r"^\s*[\[{]"))
-    jobs = F.try_variant_get(parsed, "$.jobs", "string").isNotNull()
+    kind = F.schema_of_variant(parsed)
+    jobs = kind.startswith("OBJECT") & F.array_contains(F.json_object_keys(body), "jobs")
+    asked = (mitigated == MITIGATED) | (page_title(body) == ASKING_TITLE)
     return (
         F.when(status.isNull(), "request_error")
-        .when(asked & status.isin(200, 403, 429, 503), "challenge")
-        .when((status == 200) & is_json & jobs, "ok")
-        .when((status == 200) & is_json, "unexpected_json_200")
-        .when(status == 200, "non_json_200")
+        .when((status == 200) & parsed.isNull(), "non_json_200")
+        .when((status == 200) & jobs, "ok")
+        .when(status == 200, "unexpected_json_200")
+        .when(asked, "challenge")
         .otherwise("error")
     )

@@ -75,18 +75,20 @@ def test_buckets(one, low, high, want):
 def test_codes(one):
     assert one(lambda a: vl.language_code(a), "en_GB") == "en" and one(lambda a: vl.language_code(a), "Deutsch") == "de" and one(lambda a: vl.language_code(a), "klingon") is None
     assert one(lambda a: vl.country_code(a, {"usa": "US"}), "USA") == "US" and one(lambda a: vl.country_code(a), "de") == "DE"
-    assert one(lambda a: vl.guessed_language(a), "die Katze und der Hund mit das") == "de" and one(lambda a: vl.guessed_language(a), "xyz") is None
-
-
-@pytest.mark.parametrize("text, want", [("Requires 5-10 years", (5, 10)), ("at least 3 years\n7+ years of experience", (7, None)), ("We were founded 12 years ago", None), ("over 20 years of history", None), ("30 years experience", None), ("5 to 3 years required; minimum 4 years", (4, None)), ("", None), (None, None)])
-def test_years(one, text, want):
-    got = one(lambda a: extract.years_range(a), text)
-    assert (tuple(got) if got else None) == want
-
-
-@pytest.mark.parametrize("text, want", [("Bachelor's degree required\nMaster's degree preferred", "bachelors"), ("MBA is a plus", "masters"), ("no degree required", "none"), ("PhD", "phd"), ("", None)])
-def test_education(one, text, want):
-    assert one(lambda a: extract.education_level(a), text) == want
+    assert one(lambda a: vl.language_code(a), "日本語") == "ja" and one(lambda a: vl.language_code(a), "pt-BR") == "pt" and one(lambda a: vl.country_code(a), "uk") == "GB" and one(lambda a: vl.country_code(a), "United  States") is None
+    assert one(lambda a: vl.country_code(a), "united states") == "US" and one(lambda a: vl.country_code(a), "Nowhere") is None
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Die Katze und der Hund für eine Maus mit unser", "de"), ("und der die das", None), ("Nuestro equipo busca una persona para las tardes con los", "es"),
+        ("We will work with you and your team for the role", "en"), ("これは日本語です", "ja"), ("한국어 문장", "ko"), ("xyz " * 20, None), ("", None), (None, None),
+        ("nous vous notre votre avec dans pour une", "fr"), ("con una team nostro della ruolo per qui", "it"), ("met voor een ons onze je jij rol", "nl"), ("com para uma das dos vaga equipe trabalho", "pt"),
+    ],
+)
+def test_guessed_languages(one, text, want):
+    assert one(lambda a: vl.guessed_language(a), text) == want
 
 
 def test_tags_and_summaries(one):

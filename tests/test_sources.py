@@ -35,9 +35,13 @@ def test_batch_results_by_id(spark):
 
 
 def test_probe_classes(spark):
-    rows = [(200, '{"jobs": []}'), (200, "[1]"), (200, "<html>"), (403, "Just a moment..."), (500, ""), (None, None)]
-    df = spark.createDataFrame(rows, "status int, body string")
-    assert [r["c"] for r in df.select(readers.probe_class(F.col("status"), F.lit(None), F.col("body")).alias("c")).collect()] == ["ok", "unexpected_json_200", "non_json_200", "challenge", "error", "request_error"]
+    rows = [
+        (200, None, '{"jobs": []}', "ok"), (200, None, '{"jobs": null}', "ok"), (200, "challenge", '{"jobs": [{"title": "captcha attention required"}]}', "ok"), (200, None, "[1]", "unexpected_json_200"), (200, None, '{"name": "x"}', "unexpected_json_200"),
+        (200, None, "<html><title>Security challenge</title>", "non_json_200"), (200, None, None, "non_json_200"), (403, "challenge", "", "challenge"), (403, None, "<title>Security\n challenge </title>", "challenge"), (403, None, "Just a moment...", "error"), (500, None, "", "error"), (None, None, None, "request_error"),
+    ]
+    df = spark.createDataFrame(rows, "status int, mitigated string, body string, want string")
+    for r in df.select("*", readers.probe_class(F.col("status"), F.col("mitigated"), F.col("body")).alias("got")).collect():
+        assert r["got"] == r["want"], r
 
 
 def test_payloads_in_common_form(spark):
