@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -52,13 +52,19 @@ def line_key(line: str) -> int | None:
     return xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
 
 
-def _lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines_of(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Line ids of texts; with ``whole`` their texts too, and rows without line ids (null) for blank ones."""
     known: dict[str, int | None] = {}
     for batch in batches:
         ids, keys, numbers = [], [], []
         at = []
         for row, (i, text) in enumerate(zip(batch.column("id").to_pylist(), batch.column("text").to_pylist())):
             if i is None or text is None or not text.strip():
+                if whole and i is not None:
+                    at.append(row)
+                    ids.append(i)
+                    keys.append(None)
+                    numbers.append(None)
                 continue
             own, where = [], []
             for no, line in enumerate(text.split("\n")):
@@ -83,17 +89,21 @@ def _lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("source").take(pa.array(at, pa.int64())),
                 pa.array(keys, pa.list_(pa.int64())),
                 pa.array(numbers, pa.list_(pa.int32())),
+                *([batch.column("text").take(pa.array(at, pa.int64()))] if whole else []),
             ],
-            names=["id", "source", "keys", "line_nos"],
+            names=["id", "source", "keys", "line_nos", *(["text"] if whole else [])],
         )
 
 
-def _body_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def texts() -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), pa.array([body_of(x) for x in b.column("raw_json").to_pylist()], pa.string())], names=["id", "source", "text"])
+def _body_lines(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def texts() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), pa.array([body_of(x) for x in b.column("raw_json").to_pylist()], pa.string())], names=["id", "source", "text"])
+
+        yield from _lines_of(texts(), whole)
 
-    yield from _lines_of(texts())
+    return run
 
 
 LINES = "id string, source string, keys array<bigint>, line_nos array<int>"
@@ -184,14 +194,16 @@ def _chunk_blocks(share: float):
     return run
 
 
-def posting_lines(jobs: DataFrame) -> DataFrame:
+def posting_lines(jobs: DataFrame, whole: bool = False) -> DataFrame:
     """Line ids of the bodies of postings: one row for each id with a body that isn't blank.
 
+    whole: with the bodies as ``text``, and a row with null line ids for each id whose body is blank.
+
     jobs: id, ats, board_token, raw_json; other columns are ignored, whatever their names.  Rows
     without id are left out, repeated rows of one id count once, a null source is a source of its own.
     """
     source = F.to_json(F.struct("ats", "board_token"))
-    read = spread(jobs.select("id", source.alias("source"), "raw_json")).mapInArrow(_body_lines, LINES)
+    read = spread(jobs.select("id", source.alias("source"), "raw_json")).mapInArrow(_body_lines(whole), LINES + (", text string" if whole else ""))
     return read.dropDuplicates(["id"])
 
 
@@ -201,14 +213,29 @@ def text_lines(documents: DataFrame, id_column: str, source_column: str, text_co
     return read.dropDuplicates(["id"])
 
 
+#: Rows, one a source, that are sent to the workers at most; more are joined.
+MOST_SOURCES = 20_000
+
+
+def _with_source(lines: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """lines with what is known of their source. Sent to the workers where the sources are few, so a large one's lines stay spread."""
+    facts = facts.withColumnRenamed("source", "_source")
+    facts = F.broadcast(facts) if facts.count() <= MOST_SOURCES else facts
+    return lines.join(facts, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
+
+
 def _chunks(lines: DataFrame, chunk: int, least: int) -> DataFrame:
-    sizes = lines.groupBy("source").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    return lines.join(sizes.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / chunk)))
+    sizes = cut(lines.groupBy("source").agg(F.count("*").alias("n")).filter(F.col("n") >= least), "sizes")
+    return _with_source(lines, sizes).withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / chunk)))
 
 
 def frequent_blocks(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
     """Candidate blocks (source, block array<bigint>): frequent in at least one chunk of the source."""
-    parts = _chunks(lines, chunk, least).select("source", "chunk", "id", "keys").repartition("source", "chunk").sortWithinPartitions("source", "chunk", "id")
+    return _candidates(_chunks(lines, chunk, least), share)
+
+
+def _candidates(chunks: DataFrame, share: float) -> DataFrame:
+    parts = chunks.select("source", "chunk", "id", "keys").repartition("source", "chunk").sortWithinPartitions("source", "chunk", "id")
     return parts.mapInArrow(_chunk_blocks(share), "source string, block array<bigint>").distinct()
 
 
@@ -230,12 +257,11 @@ def _parts_counted(key, chunk: pa.Table, blocks: pa.Table) -> pa.Table:
 def counted_blocks(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
     """Blocks (source, block array<bigint>) in more than ``share`` of the source's documents that no longer block of as many documents holds.
 
-    A source of one chunk has them from its suffix array.  Of others the chunks' blocks and all their parts are
+    lines: written ones, since they are read several times.  A source of one chunk has its blocks from its suffix array.  Of others the chunks' blocks and all their parts are
     counted in every chunk: a block that no longer one holds in the source may be held by one in each of the chunks.
     """
-    lines = cut(lines, "lines")
     chunks = _chunks(lines, chunk, least)
-    candidates = cut(frequent_blocks(lines, share, least, chunk), "blocks")
+    candidates = cut(_candidates(chunks, share), "blocks")
     sizes = chunks.select(F.col("source").alias("s"), "n").distinct()
     known = candidates.join(sizes, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     dealt = known.filter(F.col("n") > chunk).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / chunk) - 1)))
@@ -248,32 +274,35 @@ def counted_blocks(lines: DataFrame, share: float = SHARE, least: int = LEAST_DO
     return known.filter(F.col("n") <= chunk).select("source", "block").unionByName(whole.select("source", "block"))
 
 
+def with_hits(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
+    """Written lines (see ``posting_lines``) and ``gone``: the numbers of those in blocks to delete (null or empty for none).
+
+    A line that stands in more than ``share`` of the documents is in a block of as many, if only of itself, and every line of
+    a block stands in at least as many documents as the block: the blocks decide.  A source has 1 / share times as many such lines
+    as its documents have on average, at most, so its list is short.
+    """
+    known = lines.filter("keys is not null").select("id", "source", "keys", "line_nos")
+    blocks = counted_blocks(known, share, least, chunk)
+    chosen = cut(blocks.select("source", F.explode("block").alias("key")).groupBy("source").agg(F.collect_set("key").alias("chosen")), "chosen")
+    gone = F.transform(F.filter(F.arrays_zip("keys", "line_nos"), lambda x: F.array_contains("chosen", x["keys"])), lambda x: x["line_nos"])
+    return _with_source(lines, chosen, "left").withColumn("gone", gone).drop("chosen")
+
+
 def repeated_lines(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
     """Lines to take out: rows (id, line_no) of ``lines`` that belong to a block in more than ``share`` of the source's documents.
 
     Sources with fewer than ``least`` documents yield none; an empty table yields no row.
     """
-    lines = cut(lines, "lines")
-    candidates = frequent_blocks(lines, share, least, chunk).select("source", F.explode("block").alias("key")).groupBy("source").agg(F.collect_set("key").alias("candidates"))
-    sizes = lines.groupBy("source").agg(F.count("*").alias("n"))
-    hits = cut(
-        lines.join(candidates.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .select("source", "id", F.filter(F.arrays_zip("keys", "line_nos"), lambda x: F.array_contains("candidates", x["keys"])).alias("hits"))
-        .filter(F.size("hits") > 0),
-        "hits",
-    )
-    counts = hits.select("source", F.explode(F.array_distinct(F.col("hits.keys"))).alias("key")).groupBy("source", "key").agg(F.count("*").alias("many"))
-    chosen = (
-        counts.join(sizes.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .filter(F.col("many") > F.lit(share) * F.col("n"))
-        .groupBy("source")
-        .agg(F.collect_set("key").alias("chosen"))
-    )
-    return (
-        hits.join(chosen.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .select("id", F.explode(F.filter("hits", lambda x: F.array_contains("chosen", x["keys"]))).alias("hit"))
-        .select("id", F.col("hit.line_nos").alias("line_no"))
-    )
+    return with_hits(cut(lines, "lines"), share, least, chunk).select("id", F.explode("gone").alias("line_no"))
+
+
+def cleaned(lines: DataFrame, share: float = SHARE, least: int = LEAST_DOCUMENTS, chunk: int = CHUNK) -> DataFrame:
+    """Texts without their repeated lines: id, text, lines_removed.
+
+    lines: as ``posting_lines(whole=True)`` gives them; the texts cross the network once, to keep one row for each id.
+    """
+    hit = with_hits(cut(lines, "lines"), share, least, chunk)
+    return hit.select("id", _without("text", "gone").alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("lines_removed"))
 
 
 @F.pandas_udf(T.StringType())
@@ -288,12 +317,6 @@ def _without(texts: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf(T.StringType())
-def posting_body(raw: pd.Series) -> pd.Series:
-    """The body of a raw posting."""
-    return raw.map(body_of)
-
-
 def without_lines(texts: DataFrame, removed: DataFrame) -> DataFrame:
     """texts (id, text) without the lines of ``removed`` (id, line_no): id, text, lines_removed."""
     lists = removed.groupBy("id").agg(F.collect_list("line_no").alias("gone"))

@@ -26,13 +26,12 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Every job's body without the repeated lines, and how many were taken out."""
-    jobs = table(spark, folder, "pipeline_jobs").filter("id is not null").dropDuplicates(["id"])
-    return lines.without_lines(jobs.select("id", lines.posting_body("raw_json").alias("text")), p1_found(spark, folder))
+    return lines.cleaned(lines.posting_lines(table(spark, folder, "pipeline_jobs"), whole=True))
 
 
 def p1_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks of consecutive lines in more than 40 % of their board's jobs, by length."""
-    found = lines.counted_blocks(lines.posting_lines(table(spark, folder, "pipeline_jobs")))
+    found = lines.counted_blocks(cut(lines.posting_lines(table(spark, folder, "pipeline_jobs")), "lines"))
     return found.select(F.get_json_object("source", "$.ats").alias("ats"), F.get_json_object("source", "$.board_token").alias("board_token"), F.size("block").alias("n_lines"), F.hex(F.xxhash64("block")).alias("block_id"))
 
 
