@@ -124,6 +124,21 @@ def location_candidates(rows: DataFrame, key: str = "location_id") -> DataFrame:
     return out.select("key", "c.position", folded(F.col("c.name")).alias("name"), "c.kind", F.when(F.col("c.kind") == "country", none).otherwise(F.col("country_code")).alias("country_code"))
 
 
+def requirement_candidates(rows: DataFrame) -> DataFrame:
+    """Candidates (key, position, name, kind, country_code) of applicant requirements by their scope.
+
+    rows: key, scope (country, state, city; a group of regions and others yield none), name, region, country_code.
+    """
+    code = F.when(F.length(F.trim("country_code")) == 2, F.upper(F.trim("country_code")))
+    name, region = nz(F.trim("name")), nz(F.trim("region"))
+    all_of = lambda *c: F.when(sum((x.isNull().cast("int") for x in c), F.lit(0)) == 0, F.concat_ws(" ", *c))
+    forms = {"country": [name, code], "state": [name, region], "city": [all_of(name, region, code), all_of(name, code), name]}
+    kinds = {"country": "country", "state": "admin1", "city": "locality"}
+    entries = F.array(*[F.struct(F.lit(n).alias("position"), F.when(F.col("scope") == scope, form).alias("name"), F.lit(kinds[scope]).alias("kind")) for scope, own in forms.items() for n, form in enumerate(own)])
+    out = rows.select("key", F.explode(F.filter(entries, lambda x: x["name"].isNotNull())).alias("c"), code.alias("country_code"))
+    return out.select("key", "c.position", folded(F.col("c.name")).alias("name"), "c.kind", F.when(F.col("c.kind") == "country", F.lit(None)).otherwise(F.col("country_code")).alias("country_code"))
+
+
 def resolved(rows: DataFrame, places: DataFrame, key: str = "location_id") -> DataFrame:
     """Typed locations with the place that their fullest matching form names: id and what the place's kind fills in."""
     found = looked_up(location_candidates(rows, key), places)

@@ -61,3 +61,10 @@ def passes(rows: DataFrame, conditions: list[tuple[int, Column]]) -> DataFrame:
     for n, condition in reversed(conditions):
         number = F.when(condition, F.lit(n)).otherwise(number)
     return rows.withColumn("pass_no", number).filter("pass_no is not null")
+
+
+def outdated(rows: DataFrame, made: DataFrame, algorithm: str, key: str = "id", version: str = "last_parsed_at") -> DataFrame:
+    """Rows without a derived result (made: key, algorithm, source version), or with one of another algorithm or version."""
+    m = made.select(key, F.col("algorithm").alias("_a"), F.col(made.columns[2]).alias("_v"), F.lit(True).alias("_m"))
+    j = rows.join(m, key, "left")
+    return j.filter(F.col("_m").isNull() | ~F.col("_a").eqNullSafe(algorithm) | ~F.col("_v").eqNullSafe(F.col(version))).select(*rows.columns)

@@ -46,6 +46,12 @@ def _jobs(spark: SparkSession, folder: str) -> DataFrame:
     return merge.last_of_key(rows, ["id"], [F.col(c) for c in ("last_seen_at", "content_hash", "title", "parse_error_count")])
 
 
+def _newest(spark: SparkSession, folder: str, many: int = 1) -> list[int]:
+    """The numbers of the newest snapshots, oldest first."""
+    numbers = table(spark, folder, "job_snapshots").select("snapshot_no").filter("snapshot_no is not null").distinct().orderBy(F.desc("snapshot_no")).limit(many).collect()
+    return sorted(r[0] for r in numbers) or [0] * many
+
+
 @query("SELECT doc_id, sha256(regexp_replace(coalesce(title, '') || chr(10) || coalesce(text, ''), '^\\s+|\\s+$', '', 'g')) AS content_hash FROM documents")
 def content_hashes(spark: SparkSession, folder: str) -> DataFrame:
     """Content hash of every text."""
@@ -76,10 +82,11 @@ SELECT coalesce(s.id, t.id) AS id,
     s.id IS NOT NULL AND (t.id IS NULL OR s.content_hash IS DISTINCT FROM t.content_hash) AS needs_parse
 FROM t FULL OUTER JOIN s ON t.id = s.id""")
 def scrape_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """The third snapshot after the fourth was fetched: inserted, rewritten or seen again."""
+    """The last snapshot but one after the last was fetched: inserted, rewritten or seen again."""
     none = F.lit(None).cast("string")
-    t = _state(spark, folder, 3).select("id", "content_hash", "title", none.alias("raw_json"), none.alias("public_job_id"), "last_seen_at", F.col("last_seen_at").alias("first_seen_at"), "removed_at", F.lit(False).alias("needs_parse"))
-    s = _state(spark, folder, 4).select("id", "content_hash", "title", none.alias("raw_json"), none.alias("public_job_id"))
+    before, last = _newest(spark, folder, 2)
+    t = _state(spark, folder, before).select("id", "content_hash", "title", none.alias("raw_json"), none.alias("public_job_id"), "last_seen_at", F.col("last_seen_at").alias("first_seen_at"), "removed_at", F.lit(False).alias("needs_parse"))
+    s = _state(spark, folder, last).select("id", "content_hash", "title", none.alias("raw_json"), none.alias("public_job_id"))
     return merge.scraped(t, s, F.lit("2025-04-01").cast(t.schema["last_seen_at"].dataType)).select("id", "content_hash", "title", "last_seen_at", "removed_at", "needs_parse")
 
 
@@ -103,7 +110,7 @@ FROM j""")
 def absent_removed(spark: SparkSession, folder: str) -> DataFrame:
     """Jobs of delivered boards that the last snapshot lacks get a removal time."""
     jobs = _jobs(spark, folder).select("id", "ats", "board_token", "removed_at")
-    seen = table(spark, folder, "job_snapshots").filter("snapshot_no = 4 and id is not null").select("id", "ats", "board_token")
+    seen = table(spark, folder, "job_snapshots").filter(F.col("id").isNotNull() & (F.col("snapshot_no") == _newest(spark, folder)[0])).select("id", "ats", "board_token")
     return merge.mark_absent(jobs, seen, ["ats", "board_token"], F.lit("2025-04-01").cast(jobs.schema["removed_at"].dataType)).select("id", "removed_at")
 
 
@@ -178,7 +185,7 @@ FROM r LEFT JOIN {_JOBS} j ON j.id = r.id WHERE r.content_hash IS NOT NULL GROUP
 def guarded_results(spark: SparkSession, folder: str) -> DataFrame:
     """Results made for the last snapshot's versions: applied where the version still stands, else late."""
     jobs = _jobs(spark, folder).select("id", "content_hash", "removed_at", F.lit(0).alias("hit"))
-    results = _state(spark, folder, 4).filter("content_hash is not null").select("id", "content_hash", F.lit(1).alias("hit"))
+    results = _state(spark, folder, _newest(spark, folder)[0]).filter("content_hash is not null").select("id", "content_hash", F.lit(1).alias("hit"))
     state, late = merge.apply_guarded(jobs, results, "id", "content_hash", ["hit"], F.col("removed_at").isNull())
     out = state.filter("hit = 1").select(F.lit("applied").alias("status")).unionByName(late.select(F.lit("late").alias("status")))
     return out.groupBy("status").agg(F.count("*").alias("n"))
@@ -485,12 +492,12 @@ def guessed_languages(spark: SparkSession, folder: str) -> DataFrame:
 def streamed_state(spark: SparkSession, folder: str) -> DataFrame:
     """The newest state of every job after the snapshots came in as a stream, one file at a time."""
     from millrace.scratch import place
-    from millrace.sources.sinks import VersionedTable
+    from millrace.sources.sinks import PartedTable
 
     state = _state(spark, folder).select("id", "title", "content_hash", "last_seen_at", "removed_at", "snapshot_no")
     path = place(spark, "arrivals")
     state.repartition("snapshot_no", F.pmod(F.xxhash64("id"), F.lit(spark.sparkContext.defaultParallelism))).write.parquet(path)
-    held = VersionedTable(spark, place(spark, "state"))
+    held = PartedTable(spark, place(spark, "state"), ["id"])
     changes.merge_stream(changes.parquet_stream(spark, path, state.schema, 1), held, ["id"], "snapshot_no", place(spark, "progress"), newest_wins).awaitTermination()
     out = held.read()
     return out if out is not None else state

@@ -8,9 +8,11 @@ its own.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +56,15 @@ def drop(spark: SparkSession) -> None:
     root = _ROOTS.pop(spark.sparkContext.applicationId, None)
     if root is not None:
         remove(spark, root)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever operators write within is deleted at the end: frames made within must be used up by then."""
+    outer = _ROOTS.pop(spark.sparkContext.applicationId, None)
+    try:
+        yield
+    finally:
+        drop(spark)
+        if outer is not None:
+            _ROOTS[spark.sparkContext.applicationId] = outer

@@ -26,50 +26,57 @@ def _texts(path: str) -> Column:
 
 def _common(own: Column, **columns: Column) -> list[Column]:
     given = {"location": _get("location"), "url": _get("url"), "apply_url": first_of(_get("applyUrl"), _get("url")), "department": _get("department"), "employment_type": _get("employmentType"), "workplace_type": F.lower(_get("workplaceType")), "posted_at": F.lit(None).cast("timestamp"), "updated_at": F.lit(None).cast("timestamp"), "locations": F.array().cast("array<string>")} | columns
-    return [record_id(F.col("ats"), F.col("board_token"), own).alias("id"), "ats", "board_token", *[F.coalesce(given[c], F.lit("")).alias(c) if c not in ("posted_at", "updated_at", "locations") else given[c].alias(c) for c in COLUMNS[3:]]]
+    return [record_id(F.col("ats"), F.col("board_token"), own), F.col("ats"), F.col("board_token"), *[F.coalesce(given[c], F.lit("")) if c not in ("posted_at", "updated_at", "locations") else given[c] for c in COLUMNS[3:]]]
 
 
-def greenhouse(rows: DataFrame) -> DataFrame:
+def greenhouse() -> list[Column]:
     place = F.coalesce(_get("location.name"), _get("location"))
     departments = F.transform(F.from_json(_get("departments"), "array<struct<name:string>>"), lambda d: d["name"])
     offices = F.transform(F.from_json(_get("offices"), "array<struct<name:string>>"), lambda d: d["name"])
-    return rows.select(*_common(_get("id"), title=_get("title"), description=first_of(_get("content"), _get("description")), location=place, url=_get("absolute_url"), apply_url=_get("absolute_url"), department=F.try_element_at(departments, F.lit(1)), locations=F.coalesce(offices, F.array().cast("array<string>")), posted_at=moment(_get("first_published")), updated_at=moment(_get("updated_at"))))
+    return _common(_get("id"), title=_get("title"), description=first_of(_get("content"), _get("description")), location=place, url=_get("absolute_url"), apply_url=_get("absolute_url"), department=F.try_element_at(departments, F.lit(1)), locations=F.coalesce(offices, F.array().cast("array<string>")), posted_at=moment(_get("first_published")), updated_at=moment(_get("updated_at")))
 
 
-def lever(rows: DataFrame) -> DataFrame:
+def lever() -> list[Column]:
     lists = F.transform(F.from_json(_get("lists"), "array<struct<text:string,content:string>>"), lambda x: F.concat_ws("\n", x["text"], x["content"]))
     text = F.concat_ws("\n\n", first_of(_get("descriptionPlain"), _get("description")), F.array_join(F.coalesce(lists, F.array().cast("array<string>")), "\n\n"), first_of(_get("additionalPlain"), _get("additional")))
-    return rows.select(*_common(_get("id"), title=first_of(_get("text"), _get("title")), description=text, location=_get("categories.location"), url=_get("hostedUrl"), department=_get("categories.department"), employment_type=_get("categories.commitment"), locations=F.coalesce(_texts("categories.allLocations"), F.array().cast("array<string>")), posted_at=moment(_get("createdAt")), updated_at=moment(_get("updatedAt"))))
+    return _common(_get("id"), title=first_of(_get("text"), _get("title")), description=text, location=_get("categories.location"), url=_get("hostedUrl"), department=_get("categories.department"), employment_type=_get("categories.commitment"), locations=F.coalesce(_texts("categories.allLocations"), F.array().cast("array<string>")), posted_at=moment(_get("createdAt")), updated_at=moment(_get("updatedAt")))
 
 
-def ashby(rows: DataFrame) -> DataFrame:
+def ashby() -> list[Column]:
     more = F.transform(F.from_json(_get("secondaryLocations"), "array<struct<location:string>>"), lambda x: x["location"])
-    return rows.select(*_common(_get("id"), title=_get("title"), description=first_of(_get("descriptionHtml"), _get("descriptionPlain")), url=_get("jobUrl"), locations=F.coalesce(more, F.array().cast("array<string>")), workplace_type=F.coalesce(F.lower(_get("workplaceType")), F.when(_get("isRemote") == "true", F.lit("remote"))), posted_at=moment(_get("publishedAt"))))
+    return _common(_get("id"), title=_get("title"), description=first_of(_get("descriptionHtml"), _get("descriptionPlain")), url=_get("jobUrl"), locations=F.coalesce(more, F.array().cast("array<string>")), workplace_type=F.coalesce(F.lower(_get("workplaceType")), F.when(_get("isRemote") == "true", F.lit("remote"))), posted_at=moment(_get("publishedAt")))
 
 
-def jobvite(rows: DataFrame) -> DataFrame:
-    return rows.select(*_common(_get("id"), title=_get("title"), description=first_of(_get("descriptionHtml"), _get("description")), posted_at=moment(_get("datePosted"))))
+def jobvite() -> list[Column]:
+    return _common(_get("id"), title=_get("title"), description=first_of(_get("descriptionHtml"), _get("description")), posted_at=moment(_get("datePosted")))
 
 
-def workable(rows: DataFrame) -> DataFrame:
+def workable() -> list[Column]:
     places = F.from_json(_get("locations"), "array<struct<city:string,region:string,country:string,hidden:boolean>>")
     shown = F.transform(F.filter(places, lambda x: ~F.coalesce(x["hidden"], F.lit(False))), lambda x: F.array_join(F.filter(F.array(x["city"], x["region"], x["country"]), lambda p: p.isNotNull() & (p != "")), ", "))
     remote = F.when(_get("telecommuting") == "true", F.lit("remote"))
-    return rows.select(*_common(_get("shortcode"), title=_get("title"), description=_get("description"), location=F.try_element_at(shown, F.lit(1)), locations=F.coalesce(shown, F.array().cast("array<string>")), apply_url=first_of(_get("application_url"), _get("url")), employment_type=_get("employment_type"), workplace_type=remote, posted_at=first_moment(_get("published_on"), _get("created_at"))))
+    return _common(_get("shortcode"), title=_get("title"), description=_get("description"), location=F.try_element_at(shown, F.lit(1)), locations=F.coalesce(shown, F.array().cast("array<string>")), apply_url=first_of(_get("application_url"), _get("url")), employment_type=_get("employment_type"), workplace_type=remote, posted_at=first_moment(_get("published_on"), _get("created_at")))
 
 
 def first_moment(*cs: Column) -> Column:
     return F.coalesce(*[moment(c) for c in cs])
 
 
-#: Projections by source system; a further system registers its own here.
-NORMALIZE: dict[str, Callable[[DataFrame], DataFrame]] = {"greenhouse": greenhouse, "lever": lever, "ashby": ashby, "jobvite": jobvite, "workable": workable}
+#: Values of COLUMNS by source system; a further system registers its own here.
+NORMALIZE: dict[str, Callable[[], list[Column]]] = {"greenhouse": greenhouse, "lever": lever, "ashby": ashby, "jobvite": jobvite, "workable": workable}
 
 
 def normalized(rows: DataFrame) -> DataFrame:
-    """Postings of all systems (rows: ats, board_token, raw JSON text); unknown systems yield none."""
-    parts = [f(rows.filter(F.col("ats") == name)) for name, f in NORMALIZE.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Postings of all systems (rows: ats, board_token, raw JSON text), in one pass; unknown systems yield none."""
+    values = {name: f() for name, f in NORMALIZE.items()}
+
+    def column(n: int) -> Column:
+        out = F
+        for name, own in values.items():
+            out = out.when(F.col("ats") == name, own[n])
+        return out
+
+    return rows.filter(F.col("ats").isin(list(values))).select(*[column(n).alias(c) for n, c in enumerate(COLUMNS)])
 
 
 def one_per_shortcode(rows: DataFrame, key: str = "shortcode", many: str = "locations", order: str = "position") -> DataFrame:

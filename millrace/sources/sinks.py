@@ -54,7 +54,11 @@ class VersionedTable:
         v = f"v-{uuid.uuid4().hex}"
         w = df.write.option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.path}/{v}")
-        temporary = self._hadoop.Path(f"{self.path}/.CURRENT-{v}")
+        self._point(v)
+        return v
+
+    def _point(self, v: str) -> None:
+        temporary = self._hadoop.Path(f"{self.path}/.CURRENT-{uuid.uuid4().hex}")
         out = self._fs.create(temporary, True)
         out.write(bytearray(json.dumps({"version": v}).encode()))
         out.close()
@@ -62,7 +66,12 @@ class VersionedTable:
         options = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(context.makeQualified(temporary), context.makeQualified(self._pointer()), options)
-        return v
+
+    def update(self, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Bring rows in: ``merge`` gets the stored rows and them, and returns the new ones; only the current version stays."""
+        old = self.read()
+        self.write(rows if old is None else merge(old, rows))
+        self.vacuum()
 
     def vacuum(self) -> None:
         """Delete all versions but the current one."""
@@ -73,6 +82,44 @@ class VersionedTable:
                 self._fs.delete(status.getPath(), True)
 
 
+class PartedTable(VersionedTable):
+    """A versioned table dealt to parts by key: an update rewrites the parts that it touches, the pointer names each part's version.
+
+    Parts that nothing names any more are deleted once the pointer is moved, so the folder holds one copy of the state.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], parts: int = 64) -> None:
+        super().__init__(spark, path)
+        self.keys, self.parts = keys, parts
+
+    def _named(self) -> dict[str, str]:
+        return json.loads(self.version() or "{}")
+
+    def part_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+
+    def read(self, only: list[int] | None = None) -> DataFrame | None:
+        """The current rows, of some parts or all; None while there are none."""
+        paths = [f"{self.path}/{v}/part={p}" for p, v in self._named().items() if only is None or int(p) in only]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def update(self, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Bring rows in: ``merge`` gets the stored rows of their parts and them, and returns the parts' new rows."""
+        touched = sorted(r[0] for r in rows.select(self.part_of().alias("p")).distinct().collect())  # as many as there are parts at most
+        if not touched:
+            return
+        old = self.read(touched)
+        new = rows if old is None else merge(old, rows)
+        version, before = f"v-{uuid.uuid4().hex}", self._named()
+        new.withColumn("part", self.part_of()).repartition("part").write.option("compression", "zstd").partitionBy("part").parquet(f"{self.path}/{version}")
+        written = {s.getPath().getName().partition("=")[2] for s in self._fs.listStatus(self._hadoop.Path(f"{self.path}/{version}")) if s.isDirectory()}
+        kept = {p: v for p, v in before.items() if int(p) not in touched}
+        self._point(json.dumps(kept | {p: version for p in written}))
+        for p, v in before.items():
+            if int(p) in touched:
+                self._fs.delete(self._hadoop.Path(f"{self.path}/{v}/part={p}"), True)
+
+
 def deliver(df: DataFrame, send: Callable[[list[dict]], None], chunk: int = 1000, tries: int = 3, pause: float = 0.5) -> None:
     """Hand rows to a service in chunks, from the workers.
 

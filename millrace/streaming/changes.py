@@ -13,7 +13,7 @@ from millrace.sources.sinks import VersionedTable
 
 
 def merge_stream(stream: DataFrame, table: VersionedTable, keys: list[str], order: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Merge every micro-batch into a versioned table, and stop when the source has no more.
+    """Merge every micro-batch into a table, and stop when the source has no more; of a ``PartedTable`` a batch rewrites the parts that it touches.
 
     Of a key's rows in one batch the last by ``order`` counts; a row older than the stored one by ``order`` changes
     nothing, so a batch that is run again after a failure leaves the same state.
@@ -25,9 +25,7 @@ def merge_stream(stream: DataFrame, table: VersionedTable, keys: list[str], orde
         return upsert(old, fresh, keys, {})
 
     def step(batch: DataFrame, number: int) -> None:
-        own = last_of_key(batch, keys, [F.col(order)])
-        state = table.read()
-        table.write(own if state is None else (merge or newer)(state, own))
+        table.update(last_of_key(batch, keys, [F.col(order)]), merge or newer)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -136,3 +136,32 @@ def test_entry_without_the_text_package():
 
     names = entry.queries()
     assert {"p2_found", "p4_found", "p6_found"} <= set(names) and set(entry.oracle_sql()) <= set(names)
+
+
+def test_parted_table_rewrites_what_it_touches(spark, tmp_path):
+    t = sinks.PartedTable(spark, str(tmp_path / "t"), ["k"], parts=8)
+    assert t.read() is None
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    newer = lambda old, new: old.join(new, "k", "left_anti").unionByName(new)
+    t.update(frame([(i, "a") for i in range(100)]), newer)
+    before = t._named()
+    t.update(frame([(3, "b"), (200, "c")]), newer)
+    t.update(frame([]), newer)
+    assert {(r["k"], r["v"]) for r in t.read().select("k", "v").collect()} == {(i, "b" if i == 3 else "a") for i in range(100)} | {(200, "c")}
+    same = [p for p, v in t._named().items() if before.get(p) == v]
+    assert len(same) >= 6 and len(list((tmp_path / "t").glob("v-*/part=*"))) == len(t._named())
+    t.update(frame([(i, "x") for i in range(300)]), lambda old, new: new.limit(0))
+    assert t.read() is None
+
+
+def test_scope_deletes_what_was_written(spark):
+    from pathlib import Path
+
+    from millrace import scratch
+
+    kept = scratch.cut(spark.range(3))
+    with scratch.scope(spark):
+        assert scratch.cut(spark.range(5)).count() == 5
+        root = Path(scratch.folder(spark))
+        assert root.exists()
+    assert not root.exists() and kept.count() == 3
