@@ -8,14 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import canonical, lines, mixing, nearduplicates, packing, spans, tokens
+from millrace.llm import canonical, lines, mixing, nearduplicates, packing, spans, sql, tokens
 from millrace.operators.components import components
 from millrace.scratch import cut
 from millrace.tables import table
 
-#: Container sizes that one query makes plans for.
-MOST_LIMITS = 100
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -67,19 +64,17 @@ def _sizes(spark: SparkSession, folder: str) -> DataFrame:
     return cut(tokens.token_counts(documents, ["doc", "source"]), "sizes")
 
 
-def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
-    """Containers of every capacity in pack_limits for all texts."""
-    sizes = _sizes(spark, folder).select("doc", "tokens")
-    limits = table(spark, folder, "pack_limits").filter("limit_name is not null and capacity_tokens > 0").distinct().orderBy("limit_name").limit(MOST_LIMITS + 1).collect()
-    if len(limits) > MOST_LIMITS:
-        raise ValueError(f"more than {MOST_LIMITS} container sizes")
+def _containers(spark: SparkSession, folder: str, sizes: DataFrame) -> DataFrame:
+    limits = table(spark, folder, "pack_limits").filter("limit_name is not null and capacity_tokens > 0").select("limit_name", "capacity_tokens").distinct().orderBy("limit_name").collect()  # one row for each kind of container; each has a plan of its own
     parts = [packing.packed(sizes, int(r["capacity_tokens"])).select(F.lit(r["limit_name"]).alias("limit_name"), F.col("doc").alias("doc_id"), "piece", "first_token", "tokens", "container") for r in limits]
     if not parts:
         return packing.packed(sizes, 1).limit(0).select(F.lit("").alias("limit_name"), F.col("doc").alias("doc_id"), "piece", "first_token", "tokens", "container")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers of every capacity in pack_limits for all texts."""
+    return _containers(spark, folder, _sizes(spark, folder).select("doc", "tokens"))
 
 
 def p7_filling(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,6 +84,22 @@ def p7_filling(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(capacity, "limit_name").select("limit_name", "containers", "tokens", F.ceil(F.col("tokens") / F.col("capacity")).alias("least_containers"), (F.col("tokens") / (F.col("containers") * F.col("capacity"))).alias("filled"))
 
 
+def p7_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """What every packing must keep: all texts and tokens, no container over its capacity, no text split that fits, no two containers that would go into one."""
+    sizes = _sizes(spark, folder).select("doc", "tokens")
+    rows = cut(_containers(spark, folder, sizes), "containers")
+    capacity = table(spark, folder, "pack_limits").select("limit_name", F.col("capacity_tokens").cast("bigint").alias("capacity")).distinct()
+    whole = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("whole"))
+    texts = rows.groupBy("limit_name", "doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces")).join(capacity, "limit_name")
+    texts = texts.groupBy("limit_name").agg(F.count("*").alias("documents"), F.sum("tokens").alias("packed"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity"))).alias("needless_splits"))
+    loads = rows.filter("container is not null").groupBy("limit_name", "container").agg(F.sum("tokens").alias("load")).join(capacity, "limit_name")
+    least = F.min("load").alias("least")
+    loads = loads.groupBy("limit_name").agg(F.count_if(F.col("load") > F.col("capacity")).alias("overfull"), least, F.count("*").alias("n"), F.count_if(2 * F.col("load") <= F.col("capacity")).alias("small"))
+    out = texts.join(loads, "limit_name").join(whole.withColumn("_k", F.lit(1)), F.col("_k") == 1)  # one row
+    # at most one container is half empty: two such would have gone into one
+    return out.select("limit_name", "documents", (F.col("whole") - F.col("packed")).alias("lost_tokens"), "overfull", "needless_splits", F.greatest(F.col("small") - 1, F.lit(0)).alias("unnecessary"))
+
+
 def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Texts selected so that sources have their target shares, in the order of the schedule."""
     return mixing.Mix(_sizes(spark, folder), table(spark, folder, "mix_targets")).chosen.select("slot", "source", F.col("doc").alias("doc_id"), "repeat", "tokens")
@@ -99,6 +110,17 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mix(_sizes(spark, folder), table(spark, folder, "mix_targets")).shares()
 
 
+def p8_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """What every mix must keep: repeats within their caps, texts under their own sources, shares as near as a slot allows."""
+    sizes = _sizes(spark, folder)
+    mix = mixing.Mix(sizes, table(spark, folder, "mix_targets"))
+    chosen = cut(mix.chosen, "chosen")
+    shares = mix.shares(chosen)
+    used = chosen.groupBy("source", "doc").agg(F.count("*").alias("times")).join(sizes.select("doc", F.col("source").alias("own")), "doc", "left").join(shares.select("source", "max_repeats"), "source")
+    wrong = used.groupBy("source").agg(F.count_if(F.col("times") > F.col("max_repeats")).alias("overused"), F.count_if(~F.col("own").eqNullSafe(F.col("source"))).alias("foreign_texts"))
+    return shares.join(wrong, "source", "left").select("source", F.coalesce("overused", F.lit(0)).alias("overused"), F.coalesce("foreign_texts", F.lit(0)).alias("foreign_texts"), (F.abs(F.col("share_reached") - F.col("share_possible")) <= 0.01).alias("on_target"))
+
+
 #: Batches in which the documents come to the index, as shares of them: most at first, then small ones.
 BATCHES = (6, 1, 1)
 
@@ -127,6 +149,6 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_share(documents, cut(found, "spans")).withColumnRenamed("doc", "doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_bodies, p1_blocks, p3_found, p3_groups, p5_found, p7_containers, p7_filling, p8_mix, p8_shares, p9_found, p9_shares)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_bodies, p1_blocks, p3_found, p3_groups, p5_found, p7_containers, p7_filling, p7_kept, p8_mix, p8_shares, p8_kept, p9_found, p9_shares)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"p1_found": sql.P1_FOUND, "p1_bodies": sql.P1_BODIES, "p3_found": sql.P3_FOUND, "p7_kept": sql.P7_KEPT, "p8_kept": sql.P8_KEPT, "p9_found": sql.P9_FOUND, "p9_shares": sql.P9_SHARES}
