@@ -288,3 +288,37 @@ def part_states(spark: SparkSession, folder: str) -> DataFrame:
     g = table(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("lines"), F.array_sort(F.collect_list(entry)).alias("entries"))
     first = nested.first_by_key(F.col("entries"), lambda x: x["l_linestatus"])
     return g.join(table(spark, folder, "part").select("p_partkey"), "p_partkey").select("p_partkey", "lines", F.sort_array(F.transform(first, lambda x: x["l_linestatus"])).alias("states"))
+
+
+@query("""
+WITH h AS (SELECT q.vec_id AS query_id, b.vec_id AS id, b.label AS owner, q.label AS wanted, list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 20 = 0),
+own AS (SELECT query_id, id, owner, s, 0 AS pass_no FROM h WHERE owner = wanted QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 24),
+every_one AS (SELECT query_id, id, owner, s, 1 AS pass_no FROM h QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 24),
+hits AS (SELECT * FROM (SELECT * FROM own UNION ALL SELECT * FROM every_one) QUALIFY row_number() OVER (PARTITION BY query_id, id ORDER BY pass_no, s DESC) = 1),
+best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY query_id, coalesce(CAST(owner AS VARCHAR), '#' || id) ORDER BY pass_no, s DESC, id) = 1)
+SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY pass_no, s DESC, id) AS INTEGER) AS rank FROM best QUALIFY rank <= 3""")
+def owner_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    """Three of different owners, searched once a pass: the query's own owner first, then all."""
+    from millrace.plans.catalogue import recommendations
+
+    return recommendations(spark, folder)
+
+
+_TRIM = "regexp_replace(l, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')"
+_HASH = f"left(md5(regexp_replace(regexp_replace(lower({_TRIM}), 'https?://\\S+', '', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g')), 12)"
+
+
+@query(f"""
+WITH listed AS (SELECT * FROM (SELECT board_token, list_distinct(flatten(list(coalesce(boilerplate_hashes, [])))) AS hashes FROM pipeline_companies WHERE board_token IS NOT NULL GROUP BY board_token) WHERE len(hashes) > 0),
+rest AS (SELECT doc_id, board_token, text FROM documents WHERE text IS NOT NULL AND board_token IS NOT NULL AND board_token NOT IN (SELECT board_token FROM listed)),
+seen AS (SELECT DISTINCT doc_id, board_token, unnest(list_transform(list_filter(string_split(text, chr(10)), lambda l: length({_TRIM}) >= 30), lambda l: {_HASH})) AS line FROM rest),
+n AS (SELECT board_token, count(DISTINCT doc_id) AS n FROM rest GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
+found AS (SELECT board_token, list(line) AS hashes FROM (SELECT s.board_token, s.line FROM seen s JOIN n USING (board_token) GROUP BY 1, 2 HAVING count(*) > 0.4 * any_value(n.n)) GROUP BY 1),
+c AS (SELECT * FROM listed UNION ALL SELECT * FROM found)
+SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda l: length({_TRIM}) < 30 OR NOT list_contains(coalesce(hashes, []), {_HASH})), chr(10))) AS n_chars
+FROM documents d LEFT JOIN c USING (board_token) WHERE text IS NOT NULL""")
+def without_board_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Length of every text without its board's repeated lines, listed or computed."""
+    from millrace.plans.catalogue import without_cached_lines
+
+    return without_cached_lines(spark, folder)
