@@ -59,7 +59,20 @@ def content_hashes(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", tx.content_hash(F.col("title"), F.col("text")).alias("content_hash"))
 
 
-@query()
+#: Entities that the payloads hold, decoded by replacement; the ampersand last, so that nothing is decoded twice in one pass.
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#101;", "e"), ("&ndash;", "–"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def _decoded(text: str) -> str:
+    for name, sign in _ENTITIES:
+        text = f"replace({text}, '{name}', '{sign}')"
+    return text
+
+
+@query(f"""
+SELECT id, sha256(regexp_replace(coalesce(title, '') || chr(10) || body, '^[\\s\\p{{Z}}\\x{{85}}]+|[\\s\\p{{Z}}\\x{{85}}]+$', '', 'g')) AS content_hash, CAST(length(body) AS INTEGER) AS n_chars
+FROM (SELECT id, raw_json ->> '$.title' AS title, regexp_replace({_decoded(_decoded("b"))}, '<[^>]+>', '', 'g') AS body
+    FROM (SELECT id, raw_json, coalesce(nullif(raw_json ->> '$.content', ''), nullif(raw_json ->> '$.description', ''), nullif(raw_json ->> '$.descriptionHtml', ''), '') AS b FROM {_JOBS}))""")
 def posting_hashes(spark: SparkSession, folder: str) -> DataFrame:
     """Markup-insensitive content hash of every posting."""
     jobs = _jobs(spark, folder).select("id", F.get_json_object("raw_json", "$.title").alias("title"), tx.raw_body("raw_json").alias("body"))
