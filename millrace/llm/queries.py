@@ -151,4 +151,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_bodies, p1_blocks, p3_found, p3_groups, p5_found, p7_containers, p7_filling, p7_kept, p8_mix, p8_shares, p8_kept, p9_found, p9_shares)}
 
-SQL: dict[str, str] = {"p1_found": sql.P1_FOUND, "p1_bodies": sql.P1_BODIES, "p3_found": sql.P3_FOUND, "p7_kept": sql.P7_KEPT, "p8_kept": sql.P8_KEPT, "p9_found": sql.P9_FOUND, "p9_shares": sql.P9_SHARES}
+SQL: dict[str, str] = {"p1_found": sql.P1_FOUND, "p1_bodies": sql.P1_BODIES, "p3_found": sql.P3_FOUND, "p3_groups": sql.P3_GROUPS, "p7_kept": sql.P7_KEPT, "p8_kept": sql.P8_KEPT, "p9_found": sql.P9_FOUND, "p9_shares": sql.P9_SHARES}

@@ -45,13 +45,24 @@ kept AS (
 )
 SELECT id, coalesce(text, '') AS text, CAST(lines_removed AS INTEGER) AS lines_removed FROM kept"""
 
-P3_FOUND = f"""
-WITH {_BODIES},
+_PAIRS = f"""
+{_BODIES},
 words AS (SELECT id, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+') AS w FROM bodies),
 triples AS (SELECT DISTINCT id, hash(w[i], w[i + 1], w[i + 2]) AS t FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)),
 sizes AS (SELECT id, count(*) AS n FROM triples GROUP BY id),
-shared AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS n FROM triples a JOIN triples b ON a.t = b.t AND a.id < b.id GROUP BY ALL)
-SELECT id_a, id_b FROM shared s JOIN sizes a ON a.id = id_a JOIN sizes b ON b.id = id_b WHERE s.n >= 0.6 * (a.n + b.n - s.n)"""
+shared AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS n FROM triples a JOIN triples b ON a.t = b.t AND a.id < b.id GROUP BY ALL),
+pairs AS (SELECT id_a, id_b FROM shared s JOIN sizes a ON a.id = id_a JOIN sizes b ON b.id = id_b WHERE s.n >= 0.6 * (a.n + b.n - s.n))"""
+
+P3_FOUND = f"WITH {_PAIRS} SELECT id_a, id_b FROM pairs"
+
+P3_GROUPS = f"""
+WITH RECURSIVE {_PAIRS},
+texts AS (SELECT id, md5(string_agg(CAST(t AS VARCHAR), ',' ORDER BY t)) AS class FROM triples GROUP BY id),
+edges AS (SELECT id_a AS a, id_b AS b FROM pairs UNION SELECT id_b, id_a FROM pairs),
+reach AS (SELECT id AS a, id AS b FROM sizes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+groups_ AS (SELECT a AS id, min(b) AS group_id, count(*) AS group_size FROM reach GROUP BY a),
+links AS (SELECT e.a AS id, count(DISTINCT y.class) AS links FROM edges e JOIN texts x ON x.id = e.a JOIN texts y ON y.id = e.b WHERE x.class <> y.class GROUP BY e.a)
+SELECT g.id, group_id, group_size, coalesce(links, 0) AS links FROM groups_ g LEFT JOIN links l ON l.id = g.id"""
 
 _SPANS = """
 texts AS (SELECT doc_id, any_value(text) AS text FROM documents WHERE length(text) >= 200 GROUP BY doc_id),
