@@ -359,7 +359,21 @@ def looked_up_labels(spark: SparkSession, folder: str) -> DataFrame:
     return gazetteer.looked_up(c, table(spark, folder, "geo_places")).select("key", "geoname_id")
 
 
-@query()
+@query(f"""
+WITH r AS (SELECT DISTINCT ON (location_id) location_id, label, city, state, country_code, lat, lng, nullif(trim(city), '') AS c, nullif(trim(state), '') AS s, nullif(trim(label), '') AS l, CASE WHEN length(trim(country_code)) = 2 THEN upper(trim(country_code)) END AS cc FROM job_locations),
+q AS (SELECT * FROM r WHERE NOT (c IS NULL AND coalesce(regexp_matches(lower(l), '\\b(remote|anywhere|worldwide|work from home)\\b'), false))),
+typed AS (
+    SELECT location_id, 0 AS p, l AS n, NULL AS kind, cc FROM q UNION ALL SELECT location_id, 1, c || ' ' || s || ' ' || cc, 'locality', cc FROM q
+    UNION ALL SELECT location_id, 2, c || ' ' || s, 'locality', cc FROM q UNION ALL SELECT location_id, 3, c || ' ' || cc, 'locality', cc FROM q UNION ALL SELECT location_id, 4, c, 'locality', cc FROM q
+    UNION ALL SELECT location_id, 5, s || ' ' || cc, 'admin1', cc FROM q UNION ALL SELECT location_id, 6, s, 'admin1', cc FROM q UNION ALL SELECT location_id, 7, cc, 'country', NULL FROM q WHERE c IS NULL),
+named AS (SELECT location_id, p, {_FOLD.format('n')} AS name, kind, cc FROM typed WHERE n IS NOT NULL),
+known AS (SELECT geoname_id, kind, country_code, population, display_name, unnest(list_distinct(search_names)) AS name FROM geo_places),
+best AS (SELECT t.location_id, k.geoname_id, row_number() OVER (PARTITION BY t.location_id ORDER BY p, CASE k.kind WHEN 'country' THEN 0 WHEN 'admin1' THEN 1 ELSE 2 END, coalesce(population, -1) DESC, display_name, k.geoname_id) AS rn
+    FROM named t JOIN known k ON k.name = t.name AND (t.kind IS NULL OR k.kind = t.kind) AND (t.cc IS NULL OR k.country_code = t.cc) WHERE t.name <> '')
+SELECT r.location_id, b.geoname_id, coalesce(g.display_name, r.label) AS label, CASE WHEN g.kind = 'locality' THEN g.canonical_name ELSE nullif(r.city, '') END AS city,
+    CASE WHEN g.kind = 'locality' THEN coalesce(g.admin1_name, r.state) WHEN g.kind = 'admin1' THEN g.canonical_name WHEN g.kind = 'country' AND nullif(r.city, '') IS NULL THEN NULL ELSE r.state END AS state,
+    coalesce(g.country_code, r.country_code) AS country_code, CASE WHEN g.kind IN ('locality', 'admin1') THEN coalesce(g.latitude, r.lat) ELSE r.lat END AS lat, CASE WHEN g.kind IN ('locality', 'admin1') THEN coalesce(g.longitude, r.lng) ELSE r.lng END AS lng
+FROM r LEFT JOIN best b ON b.location_id = r.location_id AND b.rn = 1 LEFT JOIN geo_places g ON g.geoname_id = b.geoname_id""")
 def resolved_locations(spark: SparkSession, folder: str) -> DataFrame:
     """Typed locations filled in from the place that their fullest matching form names."""
     rows = table(spark, folder, "job_locations").select("location_id", "label", "city", "state", "country_code", "lat", "lng", "geoname_id").dropDuplicates(["location_id"])
