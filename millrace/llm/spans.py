@@ -14,7 +14,8 @@ Equal windows have equal anchors at equal places, so only windows around shared
   windows agrees; groups of classes of any size are handled, large ones by a distributed aggregation.
 
 A run holds one row for each class of a stretch of the batch, not one for each occurrence: a passage that stands in a third of
-all texts, or a long row of one character, is combined before it is dealt to its bucket.
+all texts, or a long row of one character, is combined before it is dealt to its bucket.  The places of the other
+occurrences are kept beside the runs, so every anchor is stored once; what a step makes for itself is deleted when it ends.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from millrace.arrow import signed, slices, spread
 from millrace.bloom import narrowed
 from millrace.llm import winnow
-from millrace.scratch import cut, place, remove
+from millrace.scratch import cut, discard, place, remove
 
 SPAN, GRAM, PARTS = 200, 50, 3
 #: Classes compared in one task; larger groups go through a distributed aggregation.
@@ -280,16 +281,18 @@ class SpanIndex:
         self.spark, self.span, self.gram = spark, span, gram
         self.buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         self.runs: list[tuple[str, int, int]] = []  # table, first batch, number of rows
-        self.anchors: list[DataFrame] = []  # of every batch, as they were found
+        self.batches = 0
+        self.rest: list[DataFrame] = []  # places (c1, c2, doc, pos) of the anchors that no run has
 
     def add(self, texts: DataFrame) -> int:
         """Write the anchors of a batch and their hashes as a run; returns the batch's number."""
         own = spread(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()))
         anchors = cut(own.mapInArrow(_run_of(self.span, self.gram), ANCHORS), "anchors")
-        self.anchors.append(anchors)
-        number = len(self.anchors) - 1
+        number, self.batches = self.batches, self.batches + 1
         self._write(anchors.filter("high is not null").withColumn("batch", F.lit(number)).repartition(self.buckets, "h"), number)
-        return len(self.anchors) - 1
+        self.rest.append(cut(anchors.filter("high is null").select("c1", "c2", "doc", "pos"), "rest"))
+        discard(anchors)
+        return number
 
     def _write(self, rows: DataFrame, batch: int) -> None:
         name = f"millrace_run_{uuid.uuid4().hex}"
@@ -314,6 +317,8 @@ class SpanIndex:
         rows = reduce(DataFrame.unionByName, [self.spark.table(name) for name, *_ in old])
         merged_rows = rows.groupBy("h", "c1", "c2").agg(least, F.max("high").alias("high"), F.max("batch").alias("batch")).select("h", "first.doc", "first.pos", "first.reach", "c1", "c2", *[f"first.part{i}" for i in range(PARTS)], "high", "batch")
         self._write(merged_rows, old[0][1])
+        others = F.row_number().over(Window.partitionBy("h", "c1", "c2").orderBy("doc", "pos")) > 1  # all but the first, which the merged run has
+        self.rest.append(cut(rows.select("h", "c1", "c2", "doc", "pos", others.alias("other")).filter("other").select("c1", "c2", "doc", "pos"), "rest"))
         for name, *_ in old:
             path = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
             self.spark.sql(f"DROP TABLE {name}")
@@ -336,7 +341,9 @@ class SpanIndex:
         first = F.min(F.struct("doc", "pos", "reach", *[f"part{i}" for i in range(PARTS)])).alias("first")
         own = reduce(DataFrame.unionByName, [rows.join(shared, "h", "left_semi") for rows in [*new, *old]])
         own = own.groupBy("h", "c1", "c2").agg(first, F.max("high").alias("high"), F.max("batch").alias("last"))
-        return own.select("h", "c1", "c2", "first.*", (F.col("first.doc") < F.col("high")).alias("several"), (F.col("last") >= since).alias("fresh"))
+        classes = cut(own.select("h", "c1", "c2", "first.*", (F.col("first.doc") < F.col("high")).alias("several"), (F.col("last") >= since).alias("fresh")), "classes")
+        discard(shared)
+        return classes
 
     def found(self, texts: DataFrame, since: int = 0) -> DataFrame:
         """What is shared of each class: rows (c1, c2, a, b), a stretch from a to b around its anchors.
@@ -346,10 +353,10 @@ class SpanIndex:
         """
         if not self.runs:
             return self.spark.createDataFrame([], "c1 bigint, c2 bigint, a int, b int")
-        ends = [first - 1 for _, first, _ in self.runs[1:]] + [len(self.anchors) - 1]
+        ends = [first - 1 for _, first, _ in self.runs[1:]] + [self.batches - 1]
         if any(first < since <= end for (_, first, _), end in zip(self.runs, ends)):
             raise ValueError(f"batch {since} is merged with earlier ones")
-        classes = cut(self._classes(since), "classes")
+        classes = self._classes(since)
         left, right = F.shiftright("reach", 16), F.col("reach").bitwiseAND(0xFFFF)
         whole = classes.filter("several and fresh").filter(left + right >= self.span).select("c1", "c2", (-left).alias("a"), right.alias("b"))
         parts = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("part"), F.col(f"part{i}").cast("int").alias("value")) for i in range(PARTS)]), lambda x: x["value"] >= 0)).alias("p")
@@ -362,23 +369,28 @@ class SpanIndex:
         read = narrowed(texts.select(F.col("doc").cast("bigint").alias("doc"), "text").filter((F.length("text") >= self.span) & F.col("doc").isNotNull()), "doc", wanted)
         rows = read.join(wanted.select("doc", "wanted"), "doc").mapInArrow(_slices_of(self.span, self.gram), SLICES)
         large = not wanted.filter(F.col("most") > GROUP).isEmpty()
+        used = [classes, wanted]
         if large:
-            rows = cut(rows, "slices").dropDuplicates(["c1", "c2", "part", "value"])
+            used.append(cut(rows, "slices"))
+            rows = used[-1].dropDuplicates(["c1", "c2", "part", "value"])
         few = rows.filter(F.col("n") <= GROUP) if large else rows
         common = few.repartition("h", "part", "value").sortWithinPartitions("h", "part", "value").mapInArrow(_compared(self.span, self.gram), "c1 bigint, c2 bigint, low int, high int")
         if large:
             windows = rows.filter(F.col("n") > GROUP).mapInArrow(_exploded(self.span, self.gram), "h bigint, c1 bigint, c2 bigint, several boolean, doc bigint, offset int, w1 bigint, w2 bigint")
             repeated = windows.groupBy("h", "w1", "w2").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.max("several").alias("s")).filter("x < y or s").select("h", "w1", "w2")
             common = common.unionByName(windows.filter("not several").join(repeated, ["h", "w1", "w2"], "left_semi").select("c1", "c2", F.col("offset").alias("low"), F.col("offset").alias("high")))
-        return cut(whole.unionByName(common.select("c1", "c2", (-F.col("high")).alias("a"), (F.lit(self.span) - F.col("low")).alias("b"))), "found")
+        out = cut(whole.unionByName(common.select("c1", "c2", (-F.col("high")).alias("a"), (F.lit(self.span) - F.col("low")).alias("b"))), "found")
+        discard(*used)
+        return out
 
     def located(self, found: DataFrame) -> DataFrame:
         """Shared stretches (doc, span_start, span_end) of all indexed texts, from what was found of their classes."""
-        if not self.anchors:
+        if not self.runs:
             return self.spark.createDataFrame([], "doc bigint, span_start int, span_end int")
-        places = reduce(DataFrame.unionByName, [a.select("c1", "c2", "doc", "pos") for a in self.anchors])
+        places = reduce(DataFrame.unionByName, [self.spark.table(name).select("c1", "c2", "doc", "pos") for name, *_ in self.runs] + self.rest)
         known = cut(found.select("c1").distinct(), "known")
-        return merged(narrowed(places, "c1", known).join(found, ["c1", "c2"]).select("doc", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b")))
+        located = narrowed(places, "c1", known).join(found, ["c1", "c2"]).select("doc", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
+        return merged(cut(located, "located"))  # written, as its runs may be merged before it is read
 
     def spans(self, texts: DataFrame, since: int = 0) -> DataFrame:
         """Shared stretches (doc, span_start, span_end) of the indexed texts: what ``found`` finds, where it stands."""
