@@ -132,9 +132,9 @@ def _spans(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     found: list[DataFrame] = []
     for number in range(len(BATCHES)):
         before, so_far = sum(BATCHES[:number]), sum(BATCHES[: number + 1])
+        index.tidy()  # for the batch to come; after the last one it would serve none
         index.add(documents.filter((arrival >= before) & (arrival < so_far)))
         found.append(index.found(documents.filter(arrival < so_far), since=number))
-        index.tidy()
     return documents, index.located(reduce(DataFrame.unionByName, found).distinct())
 
 
